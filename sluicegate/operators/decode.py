@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.binary import byte_hex, u16_be, utf8_text
 from .lookup import lookup
-from .registry import registration_is_valid
+from .registry import document_is_valid, registration_document
 
 # Message kinds, size limit and outcome texts.
 REGISTER = "01"
@@ -94,13 +94,14 @@ def admit(decoded: DataFrame, registry: DataFrame, by_order: bool = True, **limi
 
 def outcomes(admitted: DataFrame) -> DataFrame:
     """The answer to each frame: ``seq, kind, table, status, msg``."""
-    msg = F.coalesce(
-        F.col("msg"),
-        F.when((F.col("kind") == REGISTER) & ~registration_is_valid(F.col("payload")), BAD_REGISTRATION),
-    )
-    return admitted.select("seq", "kind", "table", msg.alias("msg")).select(
-        "seq", "kind", "table", F.when(F.col("msg").isNull(), "ok").otherwise("error").alias("status"), "msg"
+    registers = F.col("kind") == REGISTER
+    parsed = admitted.select(
+        "seq", "kind", "table", "msg", F.when(registers, registration_document(F.col("payload"))).alias("doc")
     )
+    broken = F.when(registers & ~document_is_valid(F.col("doc")), BAD_REGISTRATION)
+    answered = parsed.select("seq", "kind", "table", F.coalesce("msg", broken).alias("msg"))
+    status = F.when(F.col("msg").isNull(), "ok").otherwise("error")
+    return answered.select("seq", "kind", "table", status.alias("status"), "msg")
 
 
 def answers(outcome_rows: DataFrame) -> DataFrame:

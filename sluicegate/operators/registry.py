@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.field_types import SPARK_TYPES, is_unknown, resolve, resolve_column
+from .barrier import filterable
 from .lookup import lookup
 
+ENTRY = ("schema_id", "namespace", "fields")
+
+
 @dataclass(frozen=True)
 class Field:
     name: str
@@ -37,7 +41,8 @@ class TableSchema:
         )
 
 
-def _document(body: Column) -> Column:
+def registration_document(body: Column) -> Column:
+    """Registration JSON as a variant, or null when it does not parse."""
     # The brackets make trailing text after the object a parse error.
     whole = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
     items = F.try_variant_get(whole, "$", "array<variant>")
@@ -82,8 +87,8 @@ def _valid(document: Column) -> Column:
     )
 
 
-def registration_is_valid(body: Column) -> Column:
-    return F.coalesce(_valid(_document(body)), F.lit(False))
+def document_is_valid(document: Column) -> Column:
+    return F.coalesce(_valid(document), F.lit(False))
 
 
 def registrations(decoded: DataFrame) -> DataFrame:
@@ -93,7 +98,7 @@ def registrations(decoded: DataFrame) -> DataFrame:
     true and unknown keys are ignored.
     """
     documents = decoded.where((F.col("kind") == "01") & F.col("msg").isNull()).select(
-        "seq", "payload", _document(F.col("payload")).alias("doc")
+        "seq", "payload", registration_document(F.col("payload")).alias("doc")
     )
     doc = F.col("doc")
     fields = F.transform(
@@ -104,7 +109,7 @@ def registrations(decoded: DataFrame) -> DataFrame:
             F.coalesce(F.try_variant_get(f, "$.required", "boolean"), F.lit(True)).alias("required"),
         ),
     )
-    judged = documents.select("*", F.coalesce(_valid(doc), F.lit(False)).alias("ok"))
+    judged = filterable(documents.select("*", document_is_valid(doc).alias("_ok")), "_ok", "ok")
     only_ok = lambda value: F.when(F.col("ok"), value)
     return judged.select(
         "seq",
@@ -122,19 +127,21 @@ def registry(registration_rows: DataFrame) -> DataFrame:
 
     The table name alone is the key: a second namespace for the same name replaces the first.
     """
-    entry = F.struct("schema_id", "namespace", "fields")
+    ok = registration_rows.where("ok")
+    return merged(ok.select("table", F.col("seq").alias("first_seq"), F.col("seq").alias("last_seq"), *ENTRY))
+
+
+def merged(parts: DataFrame) -> DataFrame:
+    """Registry parts, such as one per generation, as one registry."""
+    entry = F.struct(*ENTRY)
     # The JSON breaks ties, so that equal seq values give one answer on every run.
-    order = F.struct(F.col("seq"), F.to_json(entry))
-    return (
-        registration_rows.where(F.col("table").isNotNull())
-        .groupBy("table")
-        .agg(
-            F.min("seq").alias("first_seq"),
-            F.max("seq").alias("last_seq"),
-            F.max_by(entry, order).alias("entry"),
-        )
-        .select("table", "first_seq", "last_seq", "entry.*")
+    order = F.struct(F.col("last_seq"), F.to_json(entry))
+    newest = parts.groupBy("table").agg(
+        F.min("first_seq").alias("first_seq"),
+        F.max("last_seq").alias("last_seq"),
+        F.max_by(entry, order).alias("entry"),
     )
+    return newest.select("table", "first_seq", "last_seq", "entry.*")
 
 
 def resolved_fields(registry_rows: DataFrame) -> DataFrame:

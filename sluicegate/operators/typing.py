@@ -15,11 +15,14 @@ from pyspark.sql import types as T
 
 from ..functions.field_types import cast_text
 from ..schemas import REJECTS
+from .barrier import filterable
 from .registry import Field, TableSchema
 
 MALFORMED = "malformed payload"
 NOT_AN_OBJECT = "payload is not an object"
 NO_SCHEMA = "no schema registered"
+REJECT = "_reject"
+REJECTED = "_rejected"
 QUARANTINE = "quarantine"
 FAIL = "fail"
 
@@ -81,18 +84,14 @@ def _columns(parsed: Column, fields: Sequence[Field]) -> tuple[list[Column], lis
     return texts, [cast_text(text, f.resolved) for text, f in zip(texts, fields)]
 
 
-def _judged(records: DataFrame, schema: TableSchema) -> DataFrame:
-    """Records with typed columns ``_c0..`` and ``reason``, each computed once per row.
-
-    Catalyst would copy the parse and the casts into a filter on ``reason``. Passing ``reason`` through a
-    generator keeps the filter above this projection.
-    """
+def _typed(records: DataFrame, schema: TableSchema) -> DataFrame:
+    """Records with typed columns ``_c0..`` and the ``_reason`` they would be set aside for, if any."""
     fields = schema.fields
     case_sensitive = records.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
     check_fields(fields, case_sensitive)
     parsed = records.select("seq", "table", "payload", "frame", parse_object(F.col("payload"), fields).alias("_p"))
     texts, values = _columns(F.col("_p"), fields)
-    typed = parsed.select(
+    return parsed.select(
         "seq",
         "table",
         "payload",
@@ -100,12 +99,28 @@ def _judged(records: DataFrame, schema: TableSchema) -> DataFrame:
         *[value.alias(f"_c{i}") for i, value in enumerate(values)],
         _reason(F.col("payload"), F.col("_p"), texts, values, fields).alias("_reason"),
     )
-    # The array is made inside the generator: for an array column, Catalyst adds a size filter below.
-    return typed.select("*", F.explode(F.array("_reason")).alias("reason")).drop("_reason")
 
 
-def _declared(judged: DataFrame, schema: TableSchema) -> DataFrame:
-    return judged.select(*[F.col(f"_c{i}").alias(f.name) for i, f in enumerate(schema.fields)])
+def _judged(records: DataFrame, schema: TableSchema) -> DataFrame:
+    """``_typed`` with a ``reason`` that can be filtered on without parsing twice."""
+    return filterable(_typed(records, schema), "_reason", "reason")
+
+
+def _declared(schema: TableSchema) -> list[Column]:
+    return [F.col(f"_c{i}").alias(f.name) for i, f in enumerate(schema.fields)]
+
+
+def check_policy(on_bad_row: str) -> None:
+    if on_bad_row not in (QUARANTINE, FAIL):
+        raise ValueError(f"on_bad_row is {QUARANTINE!r} or {FAIL!r}, not {on_bad_row!r}")
+
+
+def _is_set_aside(reason: Column, schema: TableSchema, on_bad_row: str) -> Column:
+    """True for rows to set aside; under ``fail`` a bad row raises instead."""
+    if on_bad_row == QUARANTINE:
+        return reason.isNotNull()
+    stop = F.raise_error(F.concat(F.lit(f"table '{schema.table}': "), reason)).cast("boolean")
+    return F.when(reason.isNotNull() & (reason != MALFORMED), stop).otherwise(reason.isNotNull())
 
 
 def typed_rows(records: DataFrame, schema: TableSchema, on_bad_row: str = QUARANTINE, ordered: bool = False) -> DataFrame:
@@ -113,19 +128,11 @@ def typed_rows(records: DataFrame, schema: TableSchema, on_bad_row: str = QUARAN
 
     ``ordered`` sorts inside each partition by ``seq``, which needs no shuffle.
     """
-    if on_bad_row not in (QUARANTINE, FAIL):
-        raise ValueError(f"on_bad_row is {QUARANTINE!r} or {FAIL!r}, not {on_bad_row!r}")
-    judged = _judged(records, schema)
-    reason = F.col("reason")
-    if on_bad_row == FAIL:
-        bad = reason.isNotNull() & (reason != MALFORMED)
-        stop = F.raise_error(F.concat(F.lit(f"table '{schema.table}': "), reason))
-        judged = judged.where(F.when(bad, stop.cast("boolean")).otherwise(reason.isNull()))
-    else:
-        judged = judged.where(reason.isNull())
+    check_policy(on_bad_row)
+    good = _judged(records, schema).where(~_is_set_aside(F.col("reason"), schema, on_bad_row))
     if ordered:
-        judged = judged.sortWithinPartitions("seq")
-    return _declared(judged, schema)
+        good = good.sortWithinPartitions("seq")
+    return good.select(*_declared(schema))
 
 
 def rejected_rows(records: DataFrame, schema: TableSchema) -> DataFrame:
@@ -133,6 +140,25 @@ def rejected_rows(records: DataFrame, schema: TableSchema) -> DataFrame:
     return _judged(records, schema).where(F.col("reason").isNotNull()).select(*REJECTS.names)
 
 
+def split_rows(records: DataFrame, schema: TableSchema, on_bad_row: str = QUARANTINE, ordered: bool = False) -> DataFrame:
+    """Good and set-aside records together, for one write that separates them by ``_rejected``.
+
+    Declared columns, then ``_reject`` with the whole record and its reason where it is set aside.
+    """
+    check_policy(on_bad_row)
+    typed = _typed(records, schema)
+    reason = F.col("_reason")
+    reject = F.struct("seq", "table", "payload", "frame", reason.alias("reason"))
+    split = typed.select(
+        "*",
+        F.when(reason.isNotNull(), reject).alias(REJECT),
+        _is_set_aside(reason, schema, on_bad_row).alias(REJECTED),
+    )
+    if ordered:
+        split = split.sortWithinPartitions(REJECTED, "seq")
+    return split.select(*_declared(schema), REJECT, REJECTED)
+
+
 def unregistered_rows(records: DataFrame) -> DataFrame:
     """Records already known to have no schema, as rejects."""
     return records.select("seq", "table", "payload", "frame", F.lit(NO_SCHEMA).alias("reason"))

@@ -15,6 +15,7 @@ from ..functions.field_types import SPARK_TYPES
 from ..operators.decode import RECORD, REGISTER
 from ..operators.registry import Field
 from ..schemas import FRAMES
+from ..session import local_rows
 
 
 def fields_of(schema: T.StructType, required: bool = True) -> list[Field]:
@@ -68,4 +69,4 @@ def registration_frames(spark: SparkSession, messages: Sequence[tuple[int, str]]
     """Registration JSON texts at given ``seq`` values, as frames."""
     arrived = datetime(2024, 1, 1, tzinfo=timezone.utc)
     rows = [(seq, arrived, bytes.fromhex(REGISTER) + text.encode()) for seq, text in messages]
-    return spark.createDataFrame(rows, FRAMES)
+    return local_rows(spark, rows, FRAMES)

@@ -22,13 +22,15 @@ from ..operators.decode import BAD_REGISTRATION, FLUSH, RECORD, REGISTER, decode
 from ..operators.lookup import lookup
 from ..operators.registry import (
     TableSchema,
+    merged,
     registrations,
     registry,
     table_schema,
 )
-from ..operators.typing import rejected_rows, typed_rows
+from ..operators.typing import split_rows
 from ..options import IngestOptions
-from ..schemas import CREATED, LEDGER, REGISTRATIONS, REJECTS, STAGED, STORED_REJECTS
+from ..schemas import CREATED, LEDGER, REGISTRY_PARTS, REJECTS, STAGED, STORED_REJECTS
+from ..session import local_rows
 from ..sinks.control import ControlTable, read_or_empty
 from ..sinks.targets import Target, layout, path_part
 
@@ -55,7 +57,6 @@ class FlushReport:
 class _Work:
     schema: TableSchema
     bucket: int
-    records: int
     first_seq: int | None
     has_early: bool
     known: dict[str, str]
@@ -66,7 +67,7 @@ class Store:
 
     def __init__(self, root: str):
         self.root = root.rstrip("/")
-        self.registrations = ControlTable(f"{self.root}/control/registrations", REGISTRATIONS)
+        self.registry_parts = ControlTable(f"{self.root}/control/registry", REGISTRY_PARTS)
         self.created = ControlTable(f"{self.root}/control/created", CREATED)
         self.ledger = ControlTable(f"{self.root}/control/ledger", LEDGER)
         self.staged = f"{self.root}/staged"
@@ -74,10 +75,10 @@ class Store:
 
     def registry(self, spark: SparkSession, gen: int | None = None) -> DataFrame:
         """The registry as of ``gen``, or as of now. Later registrations never change a replay."""
-        rows = self.registrations.read(spark)
+        parts = self.registry_parts.read(spark)
         if gen is not None:
-            rows = rows.where(F.col("gen") <= gen)
-        return registry(rows)
+            parts = parts.where(F.col("gen") <= gen)
+        return merged(parts)
 
     def rejected(self, spark: SparkSession) -> DataFrame:
         return read_or_empty(spark, self.rejects, STORED_REJECTS).drop("part")
@@ -130,9 +131,10 @@ def _staged(spark: SparkSession, store: Store, of_class: str, bucket: int | None
 
 
 def _store_registrations(spark: SparkSession, store: Store, gen: int) -> None:
+    """Keep this generation's part of the registry: one row per table, however often it registered."""
     parsed = registrations(_staged(spark, store, REGISTRATION_CLASS))
     if not parsed.isEmpty():
-        store.registrations.replace(parsed.where("ok"), gen)
+        store.registry_parts.replace(registry(parsed), gen)
 
 
 def _work(spark: SparkSession, store: Store, gen: int, by_order: bool) -> DataFrame:
@@ -140,7 +142,7 @@ def _work(spark: SparkSession, store: Store, gen: int, by_order: bool) -> DataFr
     counted = (
         _staged(spark, store, RECORD_CLASS)
         .groupBy("table", "bucket")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("min_seq"))
+        .agg(F.min("seq").alias("min_seq"))
     )
     layouts = (
         store.created.read(spark)
@@ -156,7 +158,6 @@ def _work(spark: SparkSession, store: Store, gen: int, by_order: bool) -> DataFr
         .select(
             F.when(registered, F.col("table")).alias("table"),
             "bucket",
-            "n",
             "first_seq",
             F.when(registered, early).alias("has_early"),
             "namespace",
@@ -164,10 +165,7 @@ def _work(spark: SparkSession, store: Store, gen: int, by_order: bool) -> DataFr
             "known",
         )
         .groupBy("table")
-        .agg(
-            F.sum("n").alias("n"),
-            *[F.any_value(c).alias(c) for c in ("bucket", "first_seq", "has_early", "namespace", "fields", "known")],
-        )
+        .agg(*[F.any_value(c).alias(c) for c in ("bucket", "first_seq", "has_early", "namespace", "fields", "known")])
     )
 
 
@@ -195,15 +193,14 @@ def _flush_table(
     """Write one table's generation and its rejects: rows stored, rows set aside, whether it is new."""
     created = target.ensure(spark, work.schema, work.known)
     records = _records(spark, store, work, options.admit_by_order)
-    good = typed_rows(records, work.schema, options.on_bad_row, options.ordered_files)
-    target.replace_generation(good, work.schema, gen)
-    # Footers say how many rows went in and came out. That holds after task retries, when accumulators
-    # may not, and only a table that lost rows is parsed again for its rejects.
-    admitted = records.count() if work.has_early and options.admit_by_order else work.records
-    stored = target.count(spark, work.schema, gen)
-    if stored != admitted:
-        _write_rejects(rejected_rows(records, work.schema), store, gen, f"t-{path_part(work.schema.table)}")
-    return stored, admitted - stored, created
+    split = split_rows(records, work.schema, options.on_bad_row, options.ordered_files)
+    target.replace_generation(split, work.schema, gen)
+    rejected = target.rejected(spark, work.schema, gen)
+    set_aside = 0
+    if not rejected.isEmpty():
+        set_aside = _write_rejects(rejected, store, gen, f"t-{path_part(work.schema.table)}")
+    # Counted from what was written, which stays true after task retries, when accumulators may not.
+    return target.count(spark, work.schema, gen), set_aside, created
 
 
 def _frame_rejects(spark: SparkSession, store: Store) -> DataFrame:
@@ -233,7 +230,7 @@ def _unadmitted(spark: SparkSession, store: Store, gen: int, by_order: bool) ->
 
 def _work_items(rows: Iterator) -> Iterator[_Work]:
     for row in rows:
-        yield _Work(table_schema(row), row["bucket"], row["n"], row["first_seq"], row["has_early"], dict(row["known"] or {}))
+        yield _Work(table_schema(row), row["bucket"], row["first_seq"], row["has_early"], dict(row["known"] or {}))
 
 
 def flush_generation(frames: DataFrame, gen: int, target: Target, options: IngestOptions) -> FlushReport:
@@ -241,7 +238,7 @@ def flush_generation(frames: DataFrame, gen: int, target: Target, options: Inges
     spark = frames.sparkSession
     store = Store(options.root)
     by_order = options.admit_by_order
-    known_tables = store.registrations.read(spark).where(F.col("gen") < gen).select("table").distinct().count()
+    known_tables = store.registry(spark, gen - 1).count()
     stage(frames, store, options, known_tables)
     _store_registrations(spark, store, gen)
 
@@ -287,11 +284,11 @@ def _close(spark: SparkSession, store: Store, gen: int, report: FlushReport, cre
         new = [(gen, s.table, place, layout(s.struct_type())) for s, place in created]
         earlier = store.created.read_one(spark, gen)
         kept = [tuple(r) for r in earlier.toLocalIterator() if r["place"] not in {n[2] for n in new}]
-        store.created.replace(spark.createDataFrame(new + kept, CREATED), gen)
+        store.created.replace(local_rows(spark, new + kept, CREATED), gen)
     flags = [(gen, table, rows, True) for table, rows in report.rows.items()]
     flags += [(gen, table, None, False) for table, _ in failures]
     if flags:
-        store.ledger.replace(spark.createDataFrame(flags, LEDGER), gen)
+        store.ledger.replace(local_rows(spark, flags, LEDGER), gen)
     if failures:
         names = ", ".join(f"'{table}'" for table, _ in failures)
         raise FlushFailed(f"generation {gen}: not committed: {names}") from failures[0][1]

@@ -58,7 +58,8 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _registry_of(spark: SparkSession, messages: Sequence[tuple[int, str]]) -> DataFrame:
-    return registry(registrations(decode(registration_frames(spark, messages))))
+    """The registry that these messages make, kept so that its later uses do not parse them again."""
+    return cut_lineage(spark, registry(registrations(decode(registration_frames(spark, messages)))))
 
 
 def _message(name: str, fields: Sequence[Field], seq: int = BEFORE_ALL) -> tuple[int, str]:
@@ -431,11 +432,11 @@ class FailsOnce(FolderTarget):
         super().__init__(root)
         self.writes = 0
 
-    def replace_generation(self, rows: DataFrame, schema: TableSchema, gen: int) -> None:
+    def replace_generation(self, split: DataFrame, schema: TableSchema, gen: int) -> None:
         self.writes += 1
         if self.writes == 2:
             raise OSError("storage went away")
-        super().replace_generation(rows, schema, gen)
+        super().replace_generation(split, schema, gen)
 
 
 def restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -465,7 +466,7 @@ def catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     namespace = ("raw", root.rsplit("-", 1)[1])
     text = registration_json(name, namespace, fields_of(source.schema))
     frames = registration_frames(spark, [(BEFORE_ALL, text)]).unionByName(record_frames(source, name, MIXED[name]))
-    options, target = _options(f"{root}/job"), CatalogTarget(location=f"{root}/warehouse")
+    options, target = _options(f"{root}/job"), CatalogTarget(f"{root}/job", location=f"{root}/warehouse")
     flush_generation(frames, 0, target, options)
     return _committed(spark, target, options, name)
 

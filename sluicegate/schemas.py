@@ -14,9 +14,10 @@ _TEXT, _LONG, _INT, _BYTES, _FLAG = T.StringType(), T.LongType(), T.IntegerType(
 FRAMES = _struct(seq=_LONG, arrival_ts=T.TimestampType(), frame=_BYTES)
 GENERATIONS = _struct(seq=_LONG, arrival_ts=T.TimestampType(), frame=_BYTES, gen=_LONG)
 
-REGISTRATIONS = _struct(
-    seq=_LONG,
+REGISTRY_PARTS = _struct(
     table=_TEXT,
+    first_seq=_LONG,
+    last_seq=_LONG,
     schema_id=_INT,
     namespace=T.ArrayType(_TEXT),
     fields=T.ArrayType(_struct(name=_TEXT, type=_TEXT, required=_FLAG)),

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # Large map outputs, few frames per task in memory, and re-planning on measured sizes.
 SETTINGS = {
@@ -48,7 +51,13 @@ def working_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(spark: SparkSession, df):
+def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """A few driver-side rows as a local relation, without Python workers."""
+    columns = list(zip(*rows)) if rows else [[] for _ in schema.names]
+    return spark.createDataFrame(pa.table(dict(zip(schema.names, columns))), schema)
+
+
+def cut_lineage(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Keep a small derived table in the shared folder so that later uses do not recompute it."""
     shared_folder(spark)
     return df.checkpoint(eager=True)

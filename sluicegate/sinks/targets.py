@@ -2,6 +2,9 @@
 
 Both keep a ``_gen`` partition per flushed generation. A write replaces exactly that partition, so a
 replayed generation overwrites itself and nothing else, also when it has no rows.
+
+A table's records are parsed once: one write separates good rows from set-aside rows by a ``_rejected``
+partition. A folder table is that written folder; a catalog table is filled from its good half.
 """
 
 from __future__ import annotations
@@ -13,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.registry import TableSchema
+from ..operators.typing import REJECT, REJECTED
+from ..schemas import REJECTS
 from .control import read_or_empty
 
 GENERATION = "_gen"
@@ -36,10 +41,13 @@ def check_layout(schema: TableSchema, existing: str) -> None:
 def check_target(schema: TableSchema) -> None:
     if not schema.namespace:
         raise ValueError(f"table '{schema.table}' is registered without a namespace")
-    if not schema.table:
-        raise ValueError("a table needs a name")
-    if any(f.name.lower() == GENERATION for f in schema.fields):
-        raise ValueError(f"table '{schema.table}' may not declare a column {GENERATION}")
+    if not schema.table or not all(schema.namespace):
+        raise ValueError("a table and each part of its namespace need a name")
+    if not schema.fields:
+        raise ValueError(f"table '{schema.table}' is registered without fields")
+    taken = sorted({f.name for f in schema.fields if f.name.lower() in (GENERATION, REJECT, REJECTED)})
+    if taken:
+        raise ValueError(f"table '{schema.table}' may not declare {taken}")
 
 
 def path_part(name: str) -> str:
@@ -47,15 +55,34 @@ def path_part(name: str) -> str:
     return quote(name, safe="").replace(".", "%2E")
 
 
+def _table_folder(schema: TableSchema) -> str:
+    return ".".join(path_part(p) for p in (*schema.namespace, schema.table))
+
+
+def _write_split(split: DataFrame, folder: str) -> None:
+    split.write.mode("overwrite").partitionBy(REJECTED).parquet(folder)
+
+
+def _good_half(spark: SparkSession, folder: str, schema: TableSchema) -> DataFrame:
+    return read_or_empty(spark, f"{folder}/{REJECTED}=false", schema.struct_type())
+
+
+def _rejected_half(spark: SparkSession, folder: str) -> DataFrame:
+    half = T.StructType([T.StructField(REJECT, REJECTS)])
+    return read_or_empty(spark, f"{folder}/{REJECTED}=true", half).select(f"{REJECT}.*")
+
+
 class FolderTarget:
-    """``<root>/tables/<namespace>.<table>/_gen=<n>/*.parquet``."""
+    """``<root>/tables/<namespace>.<table>/_gen=<n>/_rejected=<false or true>/*.parquet``."""
 
     def __init__(self, root: str):
         self.root = root.rstrip("/")
 
     def place(self, schema: TableSchema) -> str:
-        parts = [path_part(p) for p in (*schema.namespace, schema.table)]
-        return f"{self.root}/tables/{'.'.join(parts)}"
+        return f"{self.root}/tables/{_table_folder(schema)}"
+
+    def _folder(self, schema: TableSchema, gen: int) -> str:
+        return f"{self.place(schema)}/{GENERATION}={gen}"
 
     def ensure(self, spark: SparkSession, schema: TableSchema, known: dict[str, str]) -> bool:
         """Check the table against its registration; true when it is new.
@@ -68,17 +95,22 @@ class FolderTarget:
             check_layout(schema, existing)
         return existing is None
 
-    def replace_generation(self, rows: DataFrame, schema: TableSchema, gen: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.place(schema)}/{GENERATION}={gen}")
+    def replace_generation(self, split: DataFrame, schema: TableSchema, gen: int) -> None:
+        _write_split(split, self._folder(schema, gen))
+
+    def rejected(self, spark: SparkSession, schema: TableSchema, gen: int) -> DataFrame:
+        """Records the last write set aside, read from their own files."""
+        return _rejected_half(spark, self._folder(schema, gen))
 
     def count(self, spark: SparkSession, schema: TableSchema, gen: int) -> int:
         """Rows stored for one generation, from the file footers."""
-        return spark.read.schema(schema.struct_type()).parquet(f"{self.place(schema)}/{GENERATION}={gen}").count()
+        return _good_half(spark, self._folder(schema, gen), schema).count()
 
     def stored(self, spark: SparkSession, schema: TableSchema) -> DataFrame:
-        """Everything written, committed or not, with its ``_gen``."""
-        full = T.StructType([*schema.struct_type().fields, T.StructField(GENERATION, T.LongType())])
-        return read_or_empty(spark, self.place(schema), full)
+        """Every good row written, committed or not, with its ``_gen``."""
+        partitions = [T.StructField(GENERATION, T.LongType()), T.StructField(REJECTED, T.BooleanType())]
+        full = T.StructType([*schema.struct_type().fields, *partitions])
+        return read_or_empty(spark, self.place(schema), full).where(~F.col(REJECTED)).drop(REJECTED)
 
 
 def quoted(*parts: str) -> str:
@@ -122,10 +154,12 @@ def append(rows: DataFrame, name: str) -> None:
 class CatalogTarget:
     """Catalog tables. ``catalog`` names a Spark catalog, or is none for the session catalog.
 
-    The session catalog has one-part namespaces, so longer ones are joined with ``__`` there.
+    The session catalog has one-part namespaces, so longer ones are joined with ``__`` there. ``work`` is
+    a shared folder for the separated rows of the generation being flushed.
     """
 
-    def __init__(self, catalog: str | None = None, provider: str = "parquet", location: str | None = None):
+    def __init__(self, work: str, catalog: str | None = None, provider: str = "parquet", location: str | None = None):
+        self.work = work.rstrip("/")
         self.catalog = catalog
         self.provider = provider
         self.location = location.rstrip("/") if location else None
@@ -140,6 +174,9 @@ class CatalogTarget:
     def place(self, schema: TableSchema) -> str:
         return quoted(*self.namespace(schema), schema.table)
 
+    def _folder(self, schema: TableSchema) -> str:
+        return f"{self.work}/separated/{_table_folder(schema)}"
+
     def ensure(self, spark: SparkSession, schema: TableSchema, known: dict[str, str]) -> bool:
         check_target(schema)
         namespace = self.namespace(schema)
@@ -148,16 +185,20 @@ class CatalogTarget:
         ensure_table(spark, self.place(schema), schema, self.provider)
         return False
 
-    def replace_generation(self, rows: DataFrame, schema: TableSchema, gen: int) -> None:
-        spark = rows.sparkSession
+    def replace_generation(self, split: DataFrame, schema: TableSchema, gen: int) -> None:
+        spark = split.sparkSession
+        _write_split(split, self._folder(schema))
         name = self.place(schema).replace("{", "{{").replace("}", "}}")
         spark.sql(
             f"INSERT OVERWRITE {name} PARTITION ({GENERATION} = {gen:d}) SELECT * FROM {{rows}}",
-            rows=rows,
+            rows=_good_half(spark, self._folder(schema), schema),
         )
 
+    def rejected(self, spark: SparkSession, schema: TableSchema, gen: int) -> DataFrame:
+        return _rejected_half(spark, self._folder(schema))
+
     def count(self, spark: SparkSession, schema: TableSchema, gen: int) -> int:
-        return spark.table(self.place(schema)).where(F.col(GENERATION) == gen).count()
+        return self.stored(spark, schema).where(F.col(GENERATION) == gen).count()
 
     def stored(self, spark: SparkSession, schema: TableSchema) -> DataFrame:
         return spark.table(self.place(schema))
@@ -170,4 +211,3 @@ def committed_rows(spark: SparkSession, target: Target, schema: TableSchema, led
     """The table as readers see it: committed generations only, without ``_gen``."""
     done = ledger.where(F.col("committed") & (F.col("table") == schema.table)).select(F.col("gen").alias(GENERATION))
     return target.stored(spark, schema).join(done, GENERATION, "left_semi").drop(GENERATION)
-
