@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.binary import u16_be_bytes, utf8_bytes
 from ..functions.field_types import SPARK_TYPES
+from ..operators.barrier import filterable
 from ..operators.decode import RECORD, REGISTER
 from ..operators.registry import Field
 from ..schemas import FRAMES
@@ -53,11 +54,21 @@ def record_frames(table: DataFrame, name: str, seq: str, arrival: str | None = N
     """Every row of a table as one record frame."""
     body = body_of(F.lit(name), payload_of(table) if payload is None else payload)
     arrived = F.lit(None) if arrival is None else F.col(arrival)
-    return table.select(
-        F.col(seq).cast("bigint").alias("seq"),
-        arrived.cast("timestamp").alias("arrival_ts"),
-        frame_of(RECORD, body).alias("frame"),
+    return frames_from(table, F.col(seq), arrived, frame_of(RECORD, body))
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """A table kept in fewer files than there are cores, over all cores; any larger table as it is."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if len(table.inputFiles()) < cores else table
+
+
+def frames_from(table: DataFrame, seq: Column, arrival: Column, frame: Column) -> DataFrame:
+    """Frames computed from a table. Like stored frames, they are not computed again for each use."""
+    rows = spread(table).select(
+        seq.cast("bigint").alias("seq"), arrival.cast("timestamp").alias("arrival_ts"), frame.alias("_frame")
     )
+    return filterable(rows, "_frame", "frame")
 
 
 def registration_json(table: str, namespace: Sequence[str], fields: Sequence[Field]) -> str:

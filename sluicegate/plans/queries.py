@@ -39,6 +39,7 @@ from .fixtures import (
     body_of,
     fields_of,
     frame_of,
+    frames_from,
     payload_of,
     record_frames,
     registration_frames,
@@ -108,9 +109,7 @@ def rows_per_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _events_frames(source: DataFrame, frame: Column) -> DataFrame:
-    return source.select(
-        F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("arrival_ts"), frame.alias("frame")
-    )
+    return frames_from(source, F.col("event_id"), F.col("ts"), frame)
 
 
 def _events_body(source: DataFrame) -> Column:
@@ -286,11 +285,7 @@ def _supplier_registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 2 == 0, F.lit("true")).otherwise(F.lit("false")),
         F.lit("}]}"),
     )
-    return source.select(
-        key.alias("seq"),
-        F.lit(None).cast("timestamp").alias("arrival_ts"),
-        frame_of(dec.REGISTER, utf8_bytes(text)).alias("frame"),
-    )
+    return frames_from(source, key, F.lit(None), frame_of(dec.REGISTER, utf8_bytes(text)))
 
 
 def latest_registrations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,8 @@ class ControlTable:
         self.schema = schema
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return read_or_empty(spark, self.path, self.schema)
+        # Spark moves the partition column to the end.
+        return read_or_empty(spark, self.path, self.schema).select(*self.schema.names)
 
     def read_one(self, spark: SparkSession, gen: int) -> DataFrame:
         """One generation, read from its own folder; the others are not even listed."""

@@ -117,6 +117,11 @@ def quoted(*parts: str) -> str:
     return ".".join("`" + p.replace("`", "``") + "`" for p in parts)
 
 
+def _template(name: str) -> str:
+    """A name inside SQL text that Spark fills in, where braces mark what to fill."""
+    return name.replace("{", "{{").replace("}", "}}")
+
+
 def _literal(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 
@@ -148,7 +153,7 @@ def ensure_table(spark: SparkSession, name: str, schema: TableSchema, provider:
 
 def append(rows: DataFrame, name: str) -> None:
     """Plain append by column name, for tables that are not replayed by generation."""
-    rows.write.mode("append").saveAsTable(name)
+    rows.sparkSession.sql(f"INSERT INTO {_template(name)} BY NAME SELECT * FROM {{rows}}", rows=rows)
 
 
 class CatalogTarget:
@@ -188,9 +193,8 @@ class CatalogTarget:
     def replace_generation(self, split: DataFrame, schema: TableSchema, gen: int) -> None:
         spark = split.sparkSession
         _write_split(split, self._folder(schema))
-        name = self.place(schema).replace("{", "{{").replace("}", "}}")
         spark.sql(
-            f"INSERT OVERWRITE {name} PARTITION ({GENERATION} = {gen:d}) SELECT * FROM {{rows}}",
+            f"INSERT OVERWRITE {_template(self.place(schema))} PARTITION ({GENERATION} = {gen:d}) SELECT * FROM {{rows}}",
             rows=_good_half(spark, self._folder(schema), schema),
         )
 
