@@ -145,10 +145,10 @@ def merged(parts: DataFrame) -> DataFrame:
 
 
 def resolved_fields(registry_rows: DataFrame) -> DataFrame:
-    """One row per declared field, with its resolved type."""
-    exploded = registry_rows.select("table", F.posexplode("fields").alias("pos", "field"))
+    """One row per declared field, with its resolved type and the rest of its registry row."""
+    exploded = registry_rows.select("*", F.posexplode("fields").alias("pos", "field"))
     return exploded.select(
-        "table",
+        *registry_rows.drop("fields").columns,
         (F.col("pos") + 1).alias("ordinal"),
         F.col("field.name").alias("name"),
         F.col("field.type").alias("declared_type"),
@@ -169,12 +169,8 @@ def table_schemas(registry_rows: DataFrame) -> Iterator[TableSchema]:
         yield table_schema(row)
 
 
-def with_registered_schema(records: DataFrame, registry_rows: DataFrame, **limits: int) -> DataFrame:
-    """Records of registered tables with the newest ``namespace`` and ``fields`` beside them."""
+def with_schema(records: DataFrame, registry_rows: DataFrame, **limits: int) -> DataFrame:
+    """Records with the newest ``namespace`` and ``fields`` of their table, null where it has none."""
     newest = registry_rows.select("table", "namespace", "fields")
-    return lookup(records, newest, "table", F.col("seq"), how="inner", **limits)
-
-
-def without_schema(records: DataFrame, registry_rows: DataFrame, **limits: int) -> DataFrame:
-    """Records whose table has no registered schema."""
-    return lookup(records, registry_rows.select("table"), "table", F.col("seq"), how="left_anti", **limits)
+    spread = F.coalesce(F.col("seq"), F.xxhash64("payload"))
+    return lookup(records, newest, "table", spread, **limits)

@@ -159,9 +159,10 @@ def split_rows(records: DataFrame, schema: TableSchema, on_bad_row: str = QUARAN
     return split.select(*_declared(schema), REJECT, REJECTED)
 
 
-def unregistered_rows(records: DataFrame) -> DataFrame:
-    """Records already known to have no schema, as rejects."""
-    return records.select("seq", "table", "payload", "frame", F.lit(NO_SCHEMA).alias("reason"))
+def unregistered_rows(looked_up: DataFrame) -> DataFrame:
+    """Records whose table has no schema, as rejects."""
+    dropped = looked_up.where(F.col("fields").isNull())
+    return dropped.select("seq", "table", "payload", "frame", F.lit(NO_SCHEMA).alias("reason"))
 
 
 TABLES_PER_PASS = 32

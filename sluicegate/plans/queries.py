@@ -26,10 +26,9 @@ from ..operators.registry import (
     registry,
     resolved_fields,
     table_schemas,
-    with_registered_schema,
-    without_schema,
+    with_schema,
 )
-from ..operators.typing import rejected_rows, typed_rows, unregistered_rows
+from ..operators.typing import NO_SCHEMA, REJECT, rejected_rows, split_rows, typed_rows
 from ..options import IngestOptions
 from ..session import cut_lineage, working_folder
 from ..sinks.targets import CatalogTarget, FolderTarget, committed_rows
@@ -259,9 +258,8 @@ def bad_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = payload_of(source.withColumn("user_id", user_id))
     sent = source.select(F.col("event_id"), F.col("ts"), user_id.alias("user_id"), "event_type", "value", "props")
     records, schema = _events_typed(spark, sent, payload, fields_of(source.schema))
-    good = typed_rows(records, schema).select(F.lit("stored").alias("outcome"))
-    bad = rejected_rows(records, schema).select(F.col("reason").alias("outcome"))
-    return good.unionByName(bad).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+    outcome = F.coalesce(F.col(f"{REJECT}.reason"), F.lit("stored"))
+    return split_rows(records, schema).groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
 
 
 # Declared type of the second field of a registration, by supplier key modulo 8.
@@ -290,9 +288,7 @@ def _supplier_registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def latest_registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = registry(registrations(decode(_supplier_registrations(spark, sf_dir))))
-    fields = resolved_fields(known)
-    heads = known.select("table", "first_seq", "last_seq", namespace_path(F.col("namespace")).alias("namespace"))
-    return heads.join(fields, "table")
+    return resolved_fields(known.drop("schema_id").withColumn("namespace", namespace_path(F.col("namespace"))))
 
 
 def registration_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -350,13 +346,12 @@ def unregistered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records by whether their table has a schema at flush time, and under which namespace."""
     known = _registry_of(spark, _messages_of(spark, sf_dir, ["events", "customer"]))
     records = decode(_mixed_frames(spark, sf_dir)).where(F.col("kind") == dec.RECORD)
-    kept = with_registered_schema(records, known).select(
-        "table", namespace_path(F.col("namespace")).alias("namespace"), F.lit(None).cast("string").alias("reason")
+    found = with_schema(records, known)
+    reason = F.when(F.col("fields").isNull(), NO_SCHEMA)
+    namespace = F.when(F.col("fields").isNotNull(), namespace_path(F.col("namespace")))
+    return found.groupBy("table", namespace.alias("namespace"), reason.alias("reason")).agg(
+        F.count(F.lit(1)).alias("n")
     )
-    dropped = unregistered_rows(without_schema(records, known)).select(
-        "table", F.lit(None).cast("string").alias("namespace"), "reason"
-    )
-    return kept.unionByName(dropped).groupBy("table", "namespace", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 def arrival_generations(spark: SparkSession, sf_dir: str) -> DataFrame:

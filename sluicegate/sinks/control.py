@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import local_rows
+
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, base: str | None = None) -> DataFrame:
     """A Parquet folder, or no rows when nothing has been written there yet.
@@ -25,7 +27,8 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, base: st
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        # A local relation, so that joins and filters on it are planned away.
+        return local_rows(spark, [], schema)
 
 
 class ControlTable:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.lookup import lookup
 from ..operators.registry import TableSchema
 from ..operators.typing import REJECT, REJECTED
 from ..schemas import REJECTS
@@ -214,4 +215,7 @@ Target = FolderTarget | CatalogTarget
 def committed_rows(spark: SparkSession, target: Target, schema: TableSchema, ledger: DataFrame) -> DataFrame:
     """The table as readers see it: committed generations only, without ``_gen``."""
     done = ledger.where(F.col("committed") & (F.col("table") == schema.table)).select(F.col("gen").alias(GENERATION))
-    return target.stored(spark, schema).join(done, GENERATION, "left_semi").drop(GENERATION)
+    stored = target.stored(spark, schema)
+    # Measured, because the ledger's file size says little about its few rows; a broadcast also lets
+    # Spark prune the generations that are not committed.
+    return lookup(stored, done, GENERATION, F.xxhash64(*stored.columns), how="left_semi").drop(GENERATION)

@@ -84,3 +84,21 @@ def test_ordered_typing_sorts_inside_partitions_only(stored, events):
 def test_session_settings(spark):
     assert tuned_session("again").conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.range(1).select(F.current_timezone()).first()[0] == "UTC"
+
+
+def test_committed_rows_are_pruned_by_generation(spark, root, events):
+    from sluicegate.sinks.targets import FolderTarget, committed_rows
+
+    schema = TableSchema("events", ("n",), tuple(fields_of(events.schema)))
+    target = FolderTarget(root)
+    split = split_rows(decode(record_frames(events, "events", "event_id")), schema)
+    for gen in (0, 1, 2):
+        target.replace_generation(split, schema, gen)
+    ledger = spark.createDataFrame(
+        [(0, "events", 1, True), (1, "events", None, False), (2, "other", 1, True)],
+        "gen bigint, table string, rows bigint, committed boolean",
+    )
+    rows = committed_rows(spark, target, schema, ledger)
+    plan = plan_of(rows)
+    assert "dynamicpruning" in plan and "BroadcastHashJoin" in plan
+    assert rows.exceptAll(events).isEmpty() and events.exceptAll(rows).isEmpty()

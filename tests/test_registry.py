@@ -81,3 +81,17 @@ def test_newest_registration_wins_and_required_defaults_to_true(spark):
     assert schema.fields == (Field("x", "int", True), Field("y", "nope", False))
     assert schema.struct_type().simpleString() == "struct<x:int,y:string>"
     assert [f.nullable for f in schema.struct_type().fields] == [False, True]
+
+
+def test_records_without_a_schema(spark):
+    from sluicegate.operators.registry import with_schema
+    from sluicegate.operators.typing import unregistered_rows
+
+    known = registry(registrations(decode(registration_frames(spark, [(5, GOOD[0])]))))
+    rows = [(1, "t", "{}", None), (2, "u", "{}", None), (3, None, None, b"z")]
+    records = spark.createDataFrame(rows, "seq bigint, table string, payload string, frame binary")
+    for limits in ({}, {"max_rows": 0, "salts": 4}):
+        found = with_schema(records, known, **limits)
+        assert {r.seq: r.namespace for r in found.collect()} == {1: ["a", "b"], 2: None, 3: None}
+        dropped = {r.seq: (r.reason, r.frame) for r in unregistered_rows(found).collect()}
+        assert dropped == {2: ("no schema registered", None), 3: ("no schema registered", b"z")}
