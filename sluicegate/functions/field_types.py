@@ -44,11 +44,12 @@ SPARK_TYPES: dict[str, T.DataType] = {
 
 FALLBACK = "string"
 
-_INTEGER = r"^-?[0-9]+$"
-_OFFSET = r"([Zz]|[+-][0-9]{2}(:?[0-9]{2})?)$"
-_INSTANT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?" + _OFFSET
-_NAIVE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?)?$"
-_DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+# No backslashes: these go into SQL text.
+_INTEGER = "^-?[0-9]+$"
+_CLOCK = "[0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?"
+_DAY = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+_NAIVE = f"^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}([T ]{_CLOCK})?$"
+_INSTANT = f"^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}[T ]{_CLOCK}([Zz]|[+-][0-9]{{2}}(:?[0-9]{{2}})?)$"
 
 
 def resolve(spelling: str) -> str:
@@ -69,63 +70,69 @@ def _spelling_lookup(spelling: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), spelling)
 
 
-def _floating(text: Column, target: str) -> Column:
+def _case(*branches: tuple[str, str]) -> str:
+    return "CASE " + " ".join(f"WHEN {test} THEN {value}" for test, value in branches) + " END"
+
+
+def _floating(x: str, target: str) -> str:
     # Java reads a trailing type letter ("1d"); a JSON number never has one.
-    suffixed = F.right(text, F.lit(1)).isin("d", "D", "f", "F") & ~F.lower(text).endswith("inf")
-    return F.when(~suffixed, text.try_cast(target))
+    plain = f"right({x}, 1) NOT IN ('d', 'D', 'f', 'F') OR endswith(lower({x}), 'inf')"
+    return _case((plain, f"try_cast({x} AS {target})"))
 
 
-def _instant(text: Column) -> Column:
+def _instant(x: str) -> str:
     """Micros or ISO text; text without an offset is UTC whatever the session time zone is."""
-    return (
-        F.when(text.rlike(_NAIVE), F.concat(_with_time(text), F.lit("+00:00")).try_cast("timestamp"))
-        .when(text.rlike(_INSTANT), F.upper(text).try_cast("timestamp"))
-        .when(text.rlike(_INTEGER), F.timestamp_micros(text.try_cast("bigint")))
+    timed = f"if(length({x}) = 10, concat({x}, 'T00:00:00'), {x})"
+    return _case(
+        (f"rlike({x}, '{_NAIVE}')", f"try_cast(concat({timed}, '+00:00') AS TIMESTAMP)"),
+        (f"rlike({x}, '{_INSTANT}')", f"try_cast(upper({x}) AS TIMESTAMP)"),
+        (f"rlike({x}, '{_INTEGER}')", f"timestamp_micros(try_cast({x} AS BIGINT))"),
     )
 
 
-def _with_time(text: Column) -> Column:
-    return F.when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00"))).otherwise(text)
-
+def _from_epoch(micros: str) -> str:
+    return f"timestampadd(MICROSECOND, {micros}, TIMESTAMP_NTZ'1970-01-01 00:00:00')"
 
-def _from_epoch(micros: Column) -> Column:
-    return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
-
-def _naive(text: Column) -> Column:
+def _naive(x: str) -> str:
     """As an instant, then its UTC wall-clock value; plain text needs no zone arithmetic."""
-    return (
-        F.when(text.rlike(_NAIVE), text.try_cast("timestamp_ntz"))
-        .when(text.rlike(_INSTANT), _from_epoch(F.unix_micros(F.upper(text).try_cast("timestamp"))))
-        .when(text.rlike(_INTEGER), _from_epoch(text.try_cast("bigint")))
+    return _case(
+        (f"rlike({x}, '{_NAIVE}')", f"try_cast({x} AS TIMESTAMP_NTZ)"),
+        (f"rlike({x}, '{_INSTANT}')", _from_epoch(f"unix_micros(try_cast(upper({x}) AS TIMESTAMP))")),
+        (f"rlike({x}, '{_INTEGER}')", _from_epoch(f"try_cast({x} AS BIGINT)")),
     )
 
 
-def _day(text: Column) -> Column:
-    return F.when(text.rlike(_DAY), text.try_cast("date")).when(
-        text.rlike(_INTEGER), F.date_from_unix_date(text.try_cast("int"))
+def _day(x: str) -> str:
+    return _case(
+        (f"rlike({x}, '{_DAY}')", f"try_cast({x} AS DATE)"),
+        (f"rlike({x}, '{_INTEGER}')", f"date_from_unix_date(try_cast({x} AS INT))"),
     )
 
 
-def cast_text(text: Column, field_type: str) -> Column:
-    """Payload text as the declared type; null when it does not fit."""
+def cast_sql(x: str, field_type: str) -> str:
+    """SQL for the payload text ``x`` as the declared type; null when it does not fit.
+
+    SQL text rather than columns: a job with many tables builds many of these on the driver, and Spark
+    parses a whole select list in one call.
+    """
     if field_type == "string":
-        return text
+        return x
     if field_type == "long":
-        return text.try_cast("bigint")
+        return f"try_cast({x} AS BIGINT)"
     if field_type == "int":
-        return text.try_cast("int")
+        return f"try_cast({x} AS INT)"
     if field_type in ("double", "float"):
-        return _floating(text, field_type)
+        return _floating(x, field_type)
     if field_type == "boolean":
-        return F.when(text == "true", F.lit(True)).when(text == "false", F.lit(False))
+        return _case((f"{x} = 'true'", "true"), (f"{x} = 'false'", "false"))
     if field_type == "timestamptz":
-        return _instant(text)
+        return _instant(x)
     if field_type == "timestamp":
-        return _naive(text)
+        return _naive(x)
     if field_type == "date":
-        return _day(text)
+        return _day(x)
     if field_type == "binary":
         # unhex pads odd-length text, so that is ruled out first.
-        return F.when(F.length(text) % 2 == 0, F.unhex(text))
+        return _case((f"length({x}) % 2 = 0", f"unhex({x})"))
     raise ValueError(f"not a field type: {field_type!r}")

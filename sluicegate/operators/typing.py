@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.field_types import cast_text
+from ..functions.field_types import cast_sql
+from ..functions.sql_text import literal, quoted
 from ..schemas import REJECTS
 from .barrier import filterable
 from .registry import Field, TableSchema
@@ -67,21 +68,20 @@ def parse_object(payload: Column, fields: Sequence[Field]) -> Column:
     return F.from_json(payload, schema.add(broken, T.StringType()), options)
 
 
-def _reason(payload: Column, parsed: Column, texts: list[Column], values: list[Column], fields) -> Column:
-    unparsed = parsed.isNull() | parsed[_broken_column(fields)].isNotNull()
-    other_json = ~F.ltrim(payload).startswith("{") & F.try_parse_json(payload).isNotNull()
-    checks = [F.when(unparsed, F.when(other_json, NOT_AN_OBJECT).otherwise(MALFORMED))]
+def _value_and_reason_sql(parsed: str, fields: Sequence[Field]) -> tuple[list[str], str]:
+    """SQL for each declared column and for the first reason to set a row aside, in field order."""
+    texts = [f"{parsed}.{quoted(f.name)}" for f in fields]
+    values = [cast_sql(text, f.resolved) for text, f in zip(texts, fields)]
+    broken = f"{parsed}.{quoted(_broken_column(fields))}"
+    other_json = "NOT startswith(ltrim(payload), '{') AND try_parse_json(payload) IS NOT NULL"
+    unparsed = f"CASE WHEN {other_json} THEN {literal(NOT_AN_OBJECT)} ELSE {literal(MALFORMED)} END"
+    checks = [f"WHEN {parsed} IS NULL OR {broken} IS NOT NULL THEN {unparsed}"]
     for field, text, value in zip(fields, texts, values):
         if field.required:
-            checks.append(F.when(text.isNull(), missing_required(field.name)))
+            checks.append(f"WHEN {text} IS NULL THEN {literal(missing_required(field.name))}")
         if field.resolved != "string":
-            checks.append(F.when(text.isNotNull() & value.isNull(), bad_value(field.name)))
-    return F.coalesce(*checks)
-
-
-def _columns(parsed: Column, fields: Sequence[Field]) -> tuple[list[Column], list[Column]]:
-    texts = [parsed.getField(f.name) for f in fields]
-    return texts, [cast_text(text, f.resolved) for text, f in zip(texts, fields)]
+            checks.append(f"WHEN {text} IS NOT NULL AND {value} IS NULL THEN {literal(bad_value(field.name))}")
+    return values, f"CASE {' '.join(checks)} END"
 
 
 def _typed(records: DataFrame, schema: TableSchema) -> DataFrame:
@@ -90,15 +90,9 @@ def _typed(records: DataFrame, schema: TableSchema) -> DataFrame:
     case_sensitive = records.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
     check_fields(fields, case_sensitive)
     parsed = records.select("seq", "table", "payload", "frame", parse_object(F.col("payload"), fields).alias("_p"))
-    texts, values = _columns(F.col("_p"), fields)
-    return parsed.select(
-        "seq",
-        "table",
-        "payload",
-        "frame",
-        *[value.alias(f"_c{i}") for i, value in enumerate(values)],
-        _reason(F.col("payload"), F.col("_p"), texts, values, fields).alias("_reason"),
-    )
+    values, reason = _value_and_reason_sql("_p", fields)
+    columns = [f"{value} AS _c{i}" for i, value in enumerate(values)]
+    return parsed.selectExpr("seq", "table", "payload", "frame", *columns, f"{reason} AS _reason")
 
 
 def _judged(records: DataFrame, schema: TableSchema) -> DataFrame:
@@ -106,8 +100,8 @@ def _judged(records: DataFrame, schema: TableSchema) -> DataFrame:
     return filterable(_typed(records, schema), "_reason", "reason")
 
 
-def _declared(schema: TableSchema) -> list[Column]:
-    return [F.col(f"_c{i}").alias(f.name) for i, f in enumerate(schema.fields)]
+def _declared(schema: TableSchema) -> list[str]:
+    return [f"_c{i} AS {quoted(f.name)}" for i, f in enumerate(schema.fields)]
 
 
 def check_policy(on_bad_row: str) -> None:
@@ -132,7 +126,7 @@ def typed_rows(records: DataFrame, schema: TableSchema, on_bad_row: str = QUARAN
     good = _judged(records, schema).where(~_is_set_aside(F.col("reason"), schema, on_bad_row))
     if ordered:
         good = good.sortWithinPartitions("seq")
-    return good.select(*_declared(schema))
+    return good.selectExpr(*_declared(schema))
 
 
 def rejected_rows(records: DataFrame, schema: TableSchema) -> DataFrame:
@@ -156,7 +150,7 @@ def split_rows(records: DataFrame, schema: TableSchema, on_bad_row: str = QUARAN
     )
     if ordered:
         split = split.sortWithinPartitions(REJECTED, "seq")
-    return split.select(*_declared(schema), REJECT, REJECTED)
+    return split.selectExpr(*_declared(schema), REJECT, REJECTED)
 
 
 def unregistered_rows(looked_up: DataFrame) -> DataFrame:
@@ -189,10 +183,8 @@ def with_reasons(admitted: DataFrame, schemas: Sequence[TableSchema], tables_per
         )
         reason = F.lit(None).cast("string")
         for i, s in enumerate(group):
-            parsed = F.col(f"_p{i}")
-            texts, values = _columns(parsed, s.fields)
-            own = _reason(F.col("payload"), parsed, texts, values, s.fields)
-            reason = F.when(F.col("table") == s.table, own).otherwise(reason)
+            _, own = _value_and_reason_sql(f"_p{i}", s.fields)
+            reason = F.when(F.col("table") == s.table, F.expr(own)).otherwise(reason)
         parts.append(rows.select(*kept, reason.alias("reason")))
     if len(groups) != 1:
         others = F.coalesce(~F.col("table").isin(*[s.table for s in schemas]), F.lit(True))

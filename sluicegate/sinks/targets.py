@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.sql_text import literal, quoted
 from ..operators.lookup import lookup
 from ..operators.registry import TableSchema
 from ..operators.typing import REJECT, REJECTED
@@ -114,23 +115,15 @@ class FolderTarget:
         return read_or_empty(spark, self.place(schema), full).where(~F.col(REJECTED)).drop(REJECTED)
 
 
-def quoted(*parts: str) -> str:
-    return ".".join("`" + p.replace("`", "``") + "`" for p in parts)
-
-
 def _template(name: str) -> str:
     """A name inside SQL text that Spark fills in, where braces mark what to fill."""
     return name.replace("{", "{{").replace("}", "}}")
 
 
-def _literal(text: str) -> str:
-    return text.replace("\\", "\\\\").replace("'", "\\'")
-
-
 def ensure_namespace(spark: SparkSession, parts: tuple[str, ...], location: str | None = None) -> str:
     """Create the namespace if absent; its quoted name."""
     name = quoted(*parts)
-    where = f" LOCATION '{_literal(location)}'" if location else ""
+    where = f" LOCATION {literal(location)}" if location else ""
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {name}{where}")
     return name
 

@@ -46,7 +46,7 @@ def test_spellings_as_columns(spark):
 
 @pytest.mark.parametrize("field_type", sorted(ft.SPARK_TYPES))
 def test_cast_yields_the_declared_type(spark, field_type):
-    row = spark.range(1).select(ft.cast_text(F.lit("x"), field_type).alias("v"))
+    row = spark.range(1).select(F.expr(ft.cast_sql("'x'", field_type)).alias("v"))
     assert row.schema["v"].dataType == ft.SPARK_TYPES[field_type]
 
 
@@ -54,7 +54,7 @@ def test_casts(spark):
     for field_type in {t for t, _, _ in CASTS}:
         cases = [(x, v) for t, x, v in CASTS if t == field_type]
         texts = spark.createDataFrame([(i, x) for i, (x, _) in enumerate(cases)], "i int, x string")
-        found = texts.select("i", ft.cast_text(F.col("x"), field_type).alias("v")).orderBy("i").collect()
+        found = texts.select("i", F.expr(ft.cast_sql("x", field_type)).alias("v")).orderBy("i").collect()
         values = [bytes(r.v) if isinstance(r.v, bytearray) else r.v for r in found]
         assert values == [v for _, v in cases], field_type
 
@@ -70,8 +70,8 @@ def test_instants_do_not_depend_on_the_session_zone(spark, zone):
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
         found = frame.select(
-            F.unix_micros(ft.cast_text(F.col("x"), "timestamptz")).alias("tz"),
-            ft.cast_text(F.col("x"), "timestamp").cast("string").alias("naive"),
+            F.unix_micros(F.expr(ft.cast_sql("x", "timestamptz"))).alias("tz"),
+            F.expr(ft.cast_sql("x", "timestamp")).cast("string").alias("naive"),
         ).collect()
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -93,9 +93,11 @@ def test_columns_declared_twice(spark, records):
 
 
 def test_odd_field_names(spark):
-    fields = (Field("a.b", "long"), Field("c`d", "long"), Field("_broken", "long"), Field("seq", "string"), Field("", "long", False))
-    payload = '{"a.b":1,"c`d":2,"_broken":3,"seq":"four"}'
+    fields = (Field("a.b", "long"), Field("c`d", "long"), Field("_broken", "long"), Field("seq", "string"), Field("", "long", False), Field("q's\\", "long"))
+    payload = '{"a.b":1,"c`d":2,"_broken":3,"seq":"four","q\'s\\\\":5}'
     rows = spark.createDataFrame([(0, "t", payload, None)], "seq bigint, table string, payload string, frame binary")
     schema = TableSchema("t", ("n",), fields)
-    assert [tuple(r) for r in ty.typed_rows(rows, schema).collect()] == [(1, 2, 3, "four", None)]
-    assert ty.split_rows(rows, schema, ordered=True).collect()[0][:5] == (1, 2, 3, "four", None)
+    assert [tuple(r) for r in ty.typed_rows(rows, schema).collect()] == [(1, 2, 3, "four", None, 5)]
+    assert ty.split_rows(rows, schema, ordered=True).collect()[0][:6] == (1, 2, 3, "four", None, 5)
+    wrong = rows.withColumn("payload", F.lit('{"a.b":1,"c`d":2,"_broken":3,"seq":"four"}'))
+    assert ty.rejected_rows(wrong, schema).first().reason == "missing required field 'q's\\'"
