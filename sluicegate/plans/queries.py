@@ -32,7 +32,7 @@ from ..operators.typing import NO_SCHEMA, REJECT, rejected_rows, split_rows, typ
 from ..options import IngestOptions
 from ..session import cut_lineage, working_folder
 from ..sinks.targets import CatalogTarget, FolderTarget, committed_rows
-from ..sources.frames import read_frames, read_generation, stream_frames, write_frames
+from ..sources.frames import read_generation, stream_frames, write_frames
 from ..streaming.flush_loop import drain, flush_now
 from .fixtures import (
     body_of,

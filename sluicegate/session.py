@@ -10,13 +10,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-# Large map outputs, few frames per task in memory, and re-planning on measured sizes.
+# Settings that results or large jobs gain from; a session made otherwise gives the same results.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Writes split by class or by outcome keep one open file per value instead of sorting first.
+    "spark.sql.maxConcurrentOutputFileWriters": "64",
+    # The JVM does not compile methods above 8000 bytes, and tables with many columns generate such.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Call sites are not recorded for every column expression; plans for many tables build faster.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
