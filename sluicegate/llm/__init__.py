@@ -1 +1,10 @@
-"""Operators for preparing training text, and the queries that apply them."""
+"""Operators for preparing training text, and the queries that apply them.
+
+Functions of this package that run in tasks are sent by value, so executors need no installed copy of it.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

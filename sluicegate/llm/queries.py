@@ -4,20 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, secret_scan
+from . import license_scan, secret_scan, simhash, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def word_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("notices")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.assign(table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents")).drop("found")
 
 
-QUERIES = {f.__name__: f for f in (op2_license_scan, op6_secret_scan)}
+def op9_token_files(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
+    return token_files.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path or word_tokenizer())
+
+
+QUERIES = {f.__name__: f for f in (op2_license_scan, op5_simhash, op6_secret_scan, op9_token_files)}
 ORACLE_SQL: dict[str, str] = {}
