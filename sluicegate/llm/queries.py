@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import license_scan, secret_scan, simhash, token_files
+from . import license_scan, quality, secret_scan, simhash, token_files, toxicity
+from .labelled import remainder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +19,24 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _judged(judged: DataFrame, folds: int, held_out: int, threshold: float, *more: str) -> DataFrame:
+    score: Column = F.col("judged.score")
+    return judged.select(
+        "doc_id",
+        (remainder(F.col("doc_id"), folds) == held_out).alias("held_out"),
+        score.alias("score"),
+        (score >= threshold).cast("int").alias("predicted"),
+        *[f"judged.{c}" for c in more],
+    )
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    judged = toxicity.with_toxicity(docs, model, "judged")
+    return _judged(judged, toxicity.FOLDS, toxicity.HELD_OUT, toxicity.THRESHOLD, "n_spans", "spans")
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("notices")
 
@@ -33,5 +53,12 @@ def op9_token_files(spark: SparkSession, sf_dir: str, tokenizer_path: str | None
     return token_files.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path or word_tokenizer())
 
 
-QUERIES = {f.__name__: f for f in (op2_license_scan, op5_simhash, op6_secret_scan, op9_token_files)}
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    judged = quality.with_quality(docs, model, "judged")
+    return _judged(judged, quality.FOLDS, quality.HELD_OUT, quality.THRESHOLD, "n_lines", "n_bad_lines")
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_license_scan, op5_simhash, op6_secret_scan, op9_token_files, op10_quality)}
 ORACLE_SQL: dict[str, str] = {}
