@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, quality, secret_scan, simhash, token_files, toxicity
+from . import decontaminate, license_scan, quality, secret_scan, simhash, token_files, toxicity
 from .labelled import remainder
 
 
@@ -49,6 +49,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents")).drop("found")
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
     return token_files.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path or word_tokenizer())
 
@@ -60,5 +64,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(judged, quality.FOLDS, quality.HELD_OUT, quality.THRESHOLD, "n_lines", "n_bad_lines")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_license_scan, op5_simhash, op6_secret_scan, op9_token_files, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_license_scan, op5_simhash, op6_secret_scan, op8_decontaminate, op9_token_files, op10_quality)}
 ORACLE_SQL: dict[str, str] = {}
