@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, license_scan, quality, secret_scan, simhash, token_files, toxicity
+from . import decontaminate, license_scan, line_chunks, mixing, quality, secret_scan, simhash, token_files, toxicity
 from .labelled import remainder
 
+# Target shares of the mix: three named sources, and one share for all others together.
+SOURCE_WEIGHTS = {"src0": 0.25, "src1": 0.15, "src2": 0.1}
+REST_WEIGHT = 0.5
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -41,6 +45,16 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("notices")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mixed(docs, SOURCE_WEIGHTS, REST_WEIGHT)
+
+
+def op4_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_chunks.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("md5"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.assign(table(spark, sf_dir, "documents"))
 
@@ -64,5 +78,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(judged, quality.FOLDS, quality.HELD_OUT, quality.THRESHOLD, "n_lines", "n_bad_lines")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_license_scan, op5_simhash, op6_secret_scan, op8_decontaminate, op9_token_files, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_license_scan, op3_mixing, op4_line_chunks, op5_simhash, op6_secret_scan, op8_decontaminate, op9_token_files, op10_quality)}
 ORACLE_SQL: dict[str, str] = {}
