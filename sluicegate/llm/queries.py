@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, license_scan, line_chunks, mixing, quality, secret_scan, simhash, token_files, toxicity
+from . import decontaminate, embedding_links, license_scan, line_chunks, mixing, quality, secret_scan, simhash, token_files, toxicity
 from .labelled import remainder
 
 # Target shares of the mix: three named sources, and one share for all others together.
@@ -63,6 +63,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents")).drop("found")
 
 
+def op7_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links.linked(table(spark, sf_dir, "embeddings"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -78,5 +82,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(judged, quality.FOLDS, quality.HELD_OUT, quality.THRESHOLD, "n_lines", "n_bad_lines")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_license_scan, op3_mixing, op4_line_chunks, op5_simhash, op6_secret_scan, op8_decontaminate, op9_token_files, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_license_scan, op3_mixing, op4_line_chunks, op5_simhash, op6_secret_scan, op7_embedding_links, op8_decontaminate, op9_token_files, op10_quality)}
 ORACLE_SQL: dict[str, str] = {}
