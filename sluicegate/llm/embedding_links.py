@@ -84,7 +84,7 @@ def cells(rows: list[bytes], kind: str, lines: int, views: int) -> np.ndarray:
     for view in range(views):
         directions, offsets = _directions(x.shape[1], lines, view + 1)
         steps = np.floor((x @ directions + offsets) / CELL_WIDTH).astype(np.int64)
-        code = np.full(len(x), x.shape[1], np.uint64)
+        code = np.full(len(x), x.shape[1], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         for column in steps.T:
             code = (code ^ column.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
             code ^= code >> np.uint64(29)
@@ -138,7 +138,7 @@ def _compared(views: int, kind: str, min_cosine: float):
             if not batch.num_rows:
                 continue
             now = {
-                "key": np.column_stack([batch.column(c).to_numpy() for c in ("view", "cell", "a", "b")]),
+                "key": np.column_stack([batch.column(c).to_numpy() for c in ("view", "bytes", "cell", "a", "b")]),
                 "own": batch.column("own").to_numpy(),
                 "cid": batch.column("cid").to_numpy(),
                 "n": batch.column("n").to_numpy(),
@@ -159,7 +159,7 @@ def _compared(views: int, kind: str, min_cosine: float):
         for start, stop in zip(bounds, bounds[1:]):
             if stop - start < 2:
                 continue
-            view, _, a, b = rows["key"][start].tolist()
+            view, _, _, a, b = rows["key"][start].tolist()
             group = {c: v[start:stop] for c, v in rows.items()}
             right = None
             if a != b:
@@ -227,20 +227,24 @@ def linked(vectors: DataFrame, min_cosine: float = MIN_COSINE) -> DataFrame:
         return pa.array([np.frombuffer(c.as_py(), "<i8").tolist() for c in codes], pa.list_(pa.int64()))
 
     coded = keep(classes.select("cid", "n", "vec", codes_of("vec").alias("codes")), "vector-cells")
-    placed = coded.select("cid", "n", "vec", "codes", F.posexplode(listed("codes")).alias("view", "cell"))
-    sizes = coded.select(F.posexplode(listed("codes")).alias("view", "cell")).groupBy("view", "cell").agg(F.count(F.lit(1)).alias("size"))
+    # Vectors of different dimensions never share a cell.
+    width = F.length("vec").alias("bytes")
+    placed = coded.select("cid", "n", "vec", "codes", width, F.posexplode(listed("codes")).alias("view", "cell"))
+    thin = coded.select(width, F.posexplode(listed("codes")).alias("view", "cell"))
+    sizes = thin.groupBy("view", "bytes", "cell").agg(F.count(F.lit(1)).alias("size"))
     blocks = F.ceil(F.col("size") / CELL_ROWS).cast("int")
     shared = sizes.where("size > 1").withColumn("blocks", blocks)
     own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
     spread_out = (
-        placed.join(shared, ["view", "cell"])
+        placed.join(shared, ["view", "bytes", "cell"])
         .withColumn("own", own)
         .withColumn("peer", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            "view", "cell", F.least("own", "peer").alias("a"), F.greatest("own", "peer").alias("b"), "own", "cid", "n", "vec", "codes"
+            *["view", "bytes", "cell", F.least("own", "peer").alias("a"), F.greatest("own", "peer").alias("b")],
+            *["own", "cid", "n", "vec", "codes"],
         )
     )
-    keys = ["view", "cell", "a", "b"]
+    keys = ["view", "bytes", "cell", "a", "b"]
     grouped = spread_out.repartition(*keys).sortWithinPartitions(*keys)
     found = keep(grouped.mapInArrow(_compared(views, kind, min_cosine), "cid long, links long, root long"), "vector-links")
     totals = found.groupBy("cid").agg(F.sum("links").alias("links"))

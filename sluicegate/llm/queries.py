@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import decontaminate, embedding_links, license_scan, line_chunks, mixing, quality, secret_scan, simhash, token_files, toxicity
 from .labelled import remainder
+from .oracle import ORACLE_SQL as ORACLE_SQL
 
 # Target shares of the mix: three named sources, and one share for all others together.
 SOURCE_WEIGHTS = {"src0": 0.25, "src1": 0.15, "src2": 0.1}
@@ -82,5 +83,4 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(judged, quality.FOLDS, quality.HELD_OUT, quality.THRESHOLD, "n_lines", "n_bad_lines")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_license_scan, op3_mixing, op4_line_chunks, op5_simhash, op6_secret_scan, op7_embedding_links, op8_decontaminate, op9_token_files, op10_quality)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_license_scan, op3_mixing, op4_line_chunks, op5_simhash, op6_secret_scan, op7_embedding_links, op8_decontaminate, op9_token_files, op10_quality)}
\ No newline at end of file

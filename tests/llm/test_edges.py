@@ -1,0 +1,157 @@
+"""Nulls, empty and very long texts, repeated rows, empty tables and clashing column names."""
+
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from sluicegate.llm import (
+    decontaminate,
+    embedding_links,
+    license_scan,
+    line_chunks,
+    mixing,
+    quality,
+    secret_scan,
+    simhash,
+    token_files,
+    toxicity,
+)
+from sluicegate.llm.queries import word_tokenizer
+
+CLASHING = (
+    "rid words hash score found n g p row rank part fp i judged label template doc id mark lines chunks "
+    "h vec cid view block slot position gone number place ids before n_tokens judged_1 phase start"
+).split()
+LONG = "a long line of plain words. " * 40_000
+TEXTS = [
+    (1, "One line.\nAnother line."),
+    (2, None),
+    (3, ""),
+    (None, "A text without an id, under the MIT License."),
+    (4, "One line.\nAnother line."),
+    (4, "One line.\nAnother line."),
+    (5, " \n\t\n"),
+    (6, "É ß ñ 中文 😀 password=abcdef123456 é́"),
+    (7, LONG),
+    (None, None),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, "en", None if i is None else f"src{i % 3}") for i, t in TEXTS]
+    made = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    return made.withColumns({c: F.lit("clash") for c in CLASHING}).withColumn("TEXTS", F.lit(1)).cache()
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    rows = [(1, 1, 0), (1, None, None), (None, 0, 1), (4, 0, 1), (5, None, 1), (6, 0, 0), (99, 1, 1)]
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int").withColumn("text", F.lit("x")).withColumn("y", F.lit(7))
+
+
+@pytest.fixture(scope="module")
+def benchmark(spark):
+    rows = [(1, "What is a long line? A long line of plain words."), (2, None), (None, ""), (3, "?!"), (4, "Mit license")]
+    return spark.createDataFrame(rows, "item_id long, text string").withColumn("words", F.lit("x")).withColumn("n", F.lit(1))
+
+
+def operators(labels, benchmark):
+    weights = {"src0": 0.3, "src1": 0.2}
+    return {
+        "license": license_scan.scan,
+        "secrets": secret_scan.scan,
+        "tokens": lambda d: token_files.encode_documents(d, word_tokenizer()),
+        "simhash": simhash.assign,
+        "chunks": lambda d: line_chunks.dedup(d, ("had", "lost")),
+        "mixed": lambda d: mixing.mixed(d, weights, 0.5, ("a_block", "a_slot", "a_position")),
+        "in order": lambda d: mixing.in_mixed_order(d, weights, 0.5),
+        "quality": lambda d: quality.with_quality(d, quality.fit(d, labels), "judged_2"),
+        "toxicity": lambda d: toxicity.with_toxicity(d, toxicity.fit(d, labels), "judged_2"),
+        "leaks": lambda d: decontaminate.with_leaks(d, benchmark, "leaks"),
+    }
+
+
+NAMES = list(operators(None, None))
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_every_row_has_a_result(docs, labels, benchmark, name):
+    made = operators(labels, benchmark)[name](docs)
+    ids = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in made.collect())
+    assert ids == sorted((i is None, i or 0) for i, _ in TEXTS)
+    if name in ("chunks", "mixed", "in order", "quality", "toxicity", "leaks"):
+        assert made.columns[: len(docs.columns)] == docs.columns
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_empty_table(docs, labels, benchmark, name):
+    assert operators(labels.limit(0), benchmark.limit(0))[name](docs.limit(0)).count() == 0
+
+
+def test_no_labels_and_no_benchmark(docs, labels, benchmark):
+    scored = quality.with_quality(docs, quality.fit(docs, labels.limit(0)), "q").select("q.score").distinct().collect()
+    assert [r.score for r in scored] == [0.5]
+    scored = toxicity.with_toxicity(docs, toxicity.fit(docs, labels.limit(0)), "q").select("q.score").distinct().collect()
+    assert [r.score for r in scored] == [0.5]
+    assert decontaminate.without_leaks(docs, benchmark.limit(0)).count() == len(TEXTS)
+
+
+def test_values(docs, labels, benchmark):
+    by_text = {r["text"]: r for r in docs.select("text", "doc_id").collect()}
+    assert len(by_text) == len({t for _, t in TEXTS})
+    found = {r["doc_id"]: r for r in license_scan.scan(docs).collect() if r["doc_id"] is not None}
+    assert (found[2]["n_words"], found[2]["score"], found[2]["labels"], found[2]["first_word"]) == (0, 0.0, "", None)
+    secrets = {r["doc_id"]: r for r in secret_scan.scan(docs).collect()}
+    assert secrets[6]["spans"] == "assign:11:32" and secrets[2]["spans"] == ""
+    prints = simhash.assign(docs).collect()
+    same = {r["component_id"] for r in prints if r["doc_id"] in (2, 3, 5)}
+    assert same == {2} and {r["fingerprint"] for r in prints if r["doc_id"] in (2, 3, 5)} == {"0" * 16}
+    assert {r["component_id"] for r in prints if r["doc_id"] in (1, 4)} == {1}
+    ends = zlib.crc32(np.array([2], "<u4").tobytes())
+    tokens = [r for r in token_files.encode_documents(docs, word_tokenizer()).collect() if r["doc_id"] in (2, 3)]
+    assert [(r["n_tokens"], r["ids_crc32"]) for r in tokens] == [(1, ends)] * 2
+    cleaned = {r["doc_id"]: r for r in line_chunks.dedup(docs).collect() if r["doc_id"] is not None}
+    assert cleaned[2]["text"] is None and (cleaned[2]["n_lines"], cleaned[3]["n_lines"]) == (0, 1)
+    leaks = {r["doc_id"]: [x["item_id"] for x in r["found_1"]] for r in decontaminate.with_leaks(docs, benchmark, "found_1").collect()}
+    assert leaks[7] == [] and leaks[1] == []
+
+
+def test_stages_keep_columns(spark, docs, labels, benchmark, root):
+    labels.write.parquet(f"{root}/labels.parquet")
+    benchmark.write.parquet(f"{root}/benchmark.parquet")
+    docs.write.parquet(f"{root}/documents.parquet")
+    read = spark.read.parquet(f"{root}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, read, root).columns == docs.columns, name
+        assert stage(spark, read.limit(0), root).count() == 0, name
+    assert simhash.one_of_each(read).count() == 5
+    assert corpus_pipeline.run(spark, root).columns[:2] == ["doc_id", "start"]
+
+
+def test_odd_vectors(spark):
+    rows = [
+        (1, [1.0, 0.0, 0.0]),
+        (2, [2.0, 0.0, 0.0]),
+        (3, [0.0, 1.0, 0.0]),
+        (4, None),
+        (5, [0.0, 0.0, 0.0]),
+        (6, [float("nan"), 1.0, 0.0]),
+        (7, [None, 1.0, 0.0]),
+        (8, [float("inf"), 1.0, 0.0]),
+        (9, []),
+        (10, [1.0, 0.0]),
+        (11, [0.0, 1.0, 0.0]),
+        (11, [0.0, 1.0, 0.0]),
+        (None, [0.0, 1.0, 1e-9]),
+        (12, [1e300, 0.0, 0.0]),
+    ]
+    made = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("cid", F.lit(1)).withColumn("n", F.lit(1))
+    found = sorted((r["vec_id"] or 0, r["n_links"], r["component_id"], r["kept"]) for r in embedding_links.linked(made).collect())
+    alone = [(i, 0, i, True) for i in (4, 5, 6, 7, 8, 9, 10)]
+    linked = [(1, 2, 1, True), (2, 2, 1, False), (12, 2, 1, False), (3, 3, 3, True), (11, 3, 3, False), (11, 3, 3, False), (0, 3, 3, False)]
+    assert found == sorted(alone + linked)
+    assert embedding_links.linked(made.limit(0)).count() == 0
