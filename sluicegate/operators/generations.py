@@ -43,8 +43,12 @@ def work_list(orphans: DataFrame, frozen: DataFrame) -> DataFrame:
 
 
 def by_arrival(frames: DataFrame, interval_secs: int = 600) -> DataFrame:
-    """Frames with the start of the flush interval their arrival falls into, as ``gen_start``."""
-    return frames.withColumn("gen_start", F.window("arrival_ts", f"{interval_secs} seconds")["start"])
+    """Frames with the start of the flush interval their arrival falls into, as ``gen_start``.
+
+    Frames without an arrival time stay together under a null.
+    """
+    intervals = F.floor(F.unix_seconds("arrival_ts") / interval_secs)
+    return frames.withColumn("gen_start", F.timestamp_seconds(intervals * interval_secs))
 
 
 def extent(frames: DataFrame, *generation_columns: str) -> DataFrame:

@@ -92,13 +92,13 @@ def document_is_valid(document: Column) -> Column:
 
 
 def registrations(decoded: DataFrame) -> DataFrame:
-    """Registration frames parsed: ``seq, table, schema_id, namespace, fields, ok, payload``.
+    """Registration frames parsed: ``seq, table, schema_id, namespace, fields, ok, payload, frame``.
 
     ``table``, ``namespace`` and ``fields`` must be there with the right types; ``required`` defaults to
     true and unknown keys are ignored.
     """
     documents = decoded.where((F.col("kind") == "01") & F.col("msg").isNull()).select(
-        "seq", "payload", registration_document(F.col("payload")).alias("doc")
+        "seq", "payload", "frame", registration_document(F.col("payload")).alias("doc")
     )
     doc = F.col("doc")
     fields = F.transform(
@@ -119,6 +119,7 @@ def registrations(decoded: DataFrame) -> DataFrame:
         only_ok(fields).alias("fields"),
         "ok",
         "payload",
+        "frame",
     )
 
 

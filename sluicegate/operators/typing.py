@@ -68,10 +68,14 @@ def parse_object(payload: Column, fields: Sequence[Field]) -> Column:
     return F.from_json(payload, schema.add(broken, T.StringType()), options)
 
 
-def _value_and_reason_sql(parsed: str, fields: Sequence[Field]) -> tuple[list[str], str]:
-    """SQL for each declared column and for the first reason to set a row aside, in field order."""
+def _values_sql(parsed: str, fields: Sequence[Field]) -> list[str]:
+    """SQL for each declared column."""
+    return [cast_sql(f"{parsed}.{quoted(f.name)}", f.resolved) for f in fields]
+
+
+def _reason_sql(parsed: str, fields: Sequence[Field], values: Sequence[str]) -> str:
+    """SQL for the first reason to set a row aside, in field order; ``values`` are the cast columns."""
     texts = [f"{parsed}.{quoted(f.name)}" for f in fields]
-    values = [cast_sql(text, f.resolved) for text, f in zip(texts, fields)]
     broken = f"{parsed}.{quoted(_broken_column(fields))}"
     other_json = "NOT startswith(ltrim(payload), '{') AND try_parse_json(payload) IS NOT NULL"
     unparsed = f"CASE WHEN {other_json} THEN {literal(NOT_AN_OBJECT)} ELSE {literal(MALFORMED)} END"
@@ -81,7 +85,7 @@ def _value_and_reason_sql(parsed: str, fields: Sequence[Field]) -> tuple[list[st
             checks.append(f"WHEN {text} IS NULL THEN {literal(missing_required(field.name))}")
         if field.resolved != "string":
             checks.append(f"WHEN {text} IS NOT NULL AND {value} IS NULL THEN {literal(bad_value(field.name))}")
-    return values, f"CASE {' '.join(checks)} END"
+    return f"CASE {' '.join(checks)} END"
 
 
 def _typed(records: DataFrame, schema: TableSchema) -> DataFrame:
@@ -90,9 +94,11 @@ def _typed(records: DataFrame, schema: TableSchema) -> DataFrame:
     case_sensitive = records.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
     check_fields(fields, case_sensitive)
     parsed = records.select("seq", "table", "payload", "frame", parse_object(F.col("payload"), fields).alias("_p"))
-    values, reason = _value_and_reason_sql("_p", fields)
-    columns = [f"{value} AS _c{i}" for i, value in enumerate(values)]
-    return parsed.selectExpr("seq", "table", "payload", "frame", *columns, f"{reason} AS _reason")
+    names = [f"_c{i}" for i in range(len(fields))]
+    # Cast in one select and judge in the next, so that no cast is planned twice.
+    columns = [f"{value} AS {name}" for value, name in zip(_values_sql("_p", fields), names)]
+    cast = parsed.selectExpr("seq", "table", "payload", "frame", "_p", *columns)
+    return cast.selectExpr("seq", "table", "payload", "frame", *names, f"{_reason_sql('_p', fields, names)} AS _reason")
 
 
 def _judged(records: DataFrame, schema: TableSchema) -> DataFrame:
@@ -183,7 +189,7 @@ def with_reasons(admitted: DataFrame, schemas: Sequence[TableSchema], tables_per
         )
         reason = F.lit(None).cast("string")
         for i, s in enumerate(group):
-            _, own = _value_and_reason_sql(f"_p{i}", s.fields)
+            own = _reason_sql(f"_p{i}", s.fields, _values_sql(f"_p{i}", s.fields))
             reason = F.when(F.col("table") == s.table, F.expr(own)).otherwise(reason)
         parts.append(rows.select(*kept, reason.alias("reason")))
     if len(groups) != 1:

@@ -24,7 +24,6 @@ class IngestOptions:
     max_files_per_trigger: int | None = None
     max_bytes_per_trigger: str | None = None
     parallel_tables: int = 4
-    rebalance_above_tables: int = 32
 
     def __post_init__(self) -> None:
         if self.on_bad_row not in (QUARANTINE, FAIL):

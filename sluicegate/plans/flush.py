@@ -1,8 +1,10 @@
 """Flush one generation of frames into typed tables, exactly once per table.
 
 The frames are read once and staged in the shared folder, split by class and by a hash of the table
-name. Every later step reads only its own staged folders, so the work over all tables is about one more
-pass, and a lost executor costs a re-read of staged files rather than of the source.
+name, and sorted by table inside. Every later step reads only its own staged folders, and Parquet's
+statistics skip other tables' pages in them, so the work over all tables is about one more pass, and a lost
+executor costs a re-read of staged files rather than of the source. A generation has a staged folder of its
+own, which goes once the ledger row is written.
 
 Steps: stage, store registrations, count per table, write tables, write rejects, write the ledger. The
 ledger row is what makes a table's generation visible; a failed table raises after the others are done.
@@ -10,10 +12,9 @@ ledger row is what makes a table's generation visible; a failed table raises aft
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
-from itertools import batched
+from threading import BoundedSemaphore
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,14 +32,15 @@ from ..operators.typing import split_rows
 from ..options import IngestOptions
 from ..schemas import CREATED, LEDGER, REGISTRY_PARTS, REJECTS, STAGED, STORED_REJECTS
 from ..session import local_rows
-from ..sinks.control import ControlTable, read_or_empty
-from ..sinks.targets import Target, layout, path_part
+from ..sinks.control import ControlTable, overwrite, read_or_empty, remove
+from ..sinks.targets import NameTaken, Target, layout, path_part
 
 REGISTRATION_CLASS = "registration"
 RECORD_CLASS = "record"
 FLUSH_CLASS = "flush"
 REJECT_CLASS = "reject"
-MAX_BUCKETS = 4096
+# Odd names cannot flood the folder, whatever arrives; a bucket with many tables costs page headers only.
+BUCKETS = 256
 
 
 class FlushFailed(RuntimeError):
@@ -60,6 +62,7 @@ class _Work:
     first_seq: int | None
     has_early: bool
     known: dict[str, str]
+    owner: str
 
 
 class Store:
@@ -70,9 +73,11 @@ class Store:
         self.registry_parts = ControlTable(f"{self.root}/control/registry", REGISTRY_PARTS)
         self.created = ControlTable(f"{self.root}/control/created", CREATED)
         self.ledger = ControlTable(f"{self.root}/control/ledger", LEDGER)
-        self.staged = f"{self.root}/staged"
         self.rejects = f"{self.root}/rejects"
 
+    def staged(self, gen: int) -> str:
+        return f"{self.root}/staged/{gen}"
+
     def registry(self, spark: SparkSession, gen: int | None = None) -> DataFrame:
         """The registry as of ``gen``, or as of now. Later registrations never change a replay."""
         parts = self.registry_parts.read(spark)
@@ -84,18 +89,8 @@ class Store:
         return read_or_empty(spark, self.rejects, STORED_REJECTS).drop("part")
 
 
-def _bucket(table: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(table), F.lit(buckets)).cast("int")
-
-
-def _bucket_count(tables: int) -> int:
-    """A power of two with about two folders per known table; bounded, so odd names cannot flood it."""
-    return min(MAX_BUCKETS, 1 << (2 * tables + 15).bit_length())
-
-
-def stage(frames: DataFrame, store: Store, options: IngestOptions, known_tables: int) -> None:
+def stage(frames: DataFrame, store: Store, options: IngestOptions, gen: int) -> None:
     """Decode the frames once and write them by class and table bucket."""
-    buckets = _bucket_count(known_tables)
     decoded = decode(frames, options.enable_manual_flush, options.max_frame_bytes)
     kind, msg = F.col("kind"), F.col("msg")
     split = (
@@ -115,34 +110,40 @@ def stage(frames: DataFrame, store: Store, options: IngestOptions, known_tables:
         F.when(keeps_frame, F.col("frame")).alias("frame"),
         "msg",
         split.alias("class"),
-        F.coalesce(_bucket(F.col("table"), buckets), F.lit(0)).alias("bucket"),
+        F.coalesce(F.pmod(F.xxhash64("table"), F.lit(BUCKETS)).cast("int"), F.lit(0)).alias("bucket"),
     )
-    if known_tables > options.rebalance_above_tables:
-        # Many tables in every task would leave many tiny files. Rebalancing groups them and, unlike a
-        # hash repartition, splits a bucket that is too large for one task.
-        staged = staged.hint("rebalance", F.col("class"), F.col("bucket"))
-    staged.write.mode("overwrite").partitionBy("class", "bucket").parquet(store.staged)
+    # Many tables in every task would leave many tiny files. Rebalancing groups them and, unlike a hash
+    # repartition, splits a bucket that is too large for one task.
+    grouped = staged.hint("rebalance", F.col("class"), F.col("bucket")).sortWithinPartitions("class", "bucket", "table")
+    overwrite(grouped, store.staged(gen), "class", "bucket")
 
 
-def _staged(spark: SparkSession, store: Store, of_class: str, bucket: int | None = None) -> DataFrame:
+def _staged(spark: SparkSession, store: Store, gen: int, of_class: str, bucket: int | None = None) -> DataFrame:
     """One class, or one bucket of it, listed and read from its own folder only."""
-    folder = f"{store.staged}/class={of_class}" + ("" if bucket is None else f"/bucket={bucket}")
-    return read_or_empty(spark, folder, STAGED, base=store.staged)
+    folder = f"{store.staged(gen)}/class={of_class}" + ("" if bucket is None else f"/bucket={bucket}")
+    return read_or_empty(spark, folder, STAGED, base=store.staged(gen))
 
 
 def _store_registrations(spark: SparkSession, store: Store, gen: int) -> None:
     """Keep this generation's part of the registry: one row per table, however often it registered."""
-    parsed = registrations(_staged(spark, store, REGISTRATION_CLASS))
+    parsed = registrations(_staged(spark, store, gen, REGISTRATION_CLASS))
     if not parsed.isEmpty():
         store.registry_parts.replace(registry(parsed), gen)
 
 
-def _work(spark: SparkSession, store: Store, gen: int, by_order: bool) -> DataFrame:
+def _owners(named: DataFrame) -> DataFrame:
+    """The table that has a name first, for names that a catalog folds to one; replays see the same."""
+    folded = F.lower(F.to_json(F.struct("namespace", "table")))
+    first = F.min_by("table", F.struct("first_seq", "table")).alias("owner")
+    return named.withColumn("folded", folded).join(named.groupBy(folded.alias("folded")).agg(first), "folded").drop("folded")
+
+
+def _work(spark: SparkSession, store: Store, target: Target, gen: int, by_order: bool) -> DataFrame:
     """One row per registered table with staged records, and one with a null table for all others."""
     counted = (
-        _staged(spark, store, RECORD_CLASS)
+        _staged(spark, store, gen, RECORD_CLASS)
         .groupBy("table", "bucket")
-        .agg(F.min("seq").alias("min_seq"))
+        .agg(F.min("seq").alias("min_seq"), F.bool_or(F.col("seq").isNull()).alias("unordered"))
     )
     layouts = (
         store.created.read(spark)
@@ -150,27 +151,28 @@ def _work(spark: SparkSession, store: Store, gen: int, by_order: bool) -> DataFr
         .groupBy("table")
         .agg(F.map_from_entries(F.collect_set(F.struct("place", "layout"))).alias("known"))
     )
-    named = store.registry(spark, gen).join(layouts, "table", "left")
+    known = store.registry(spark, gen)
+    owned = _owners(known) if target.folds_case(spark) else known.withColumn("owner", F.col("table"))
+    named = owned.join(layouts, "table", "left")
     registered = F.col("fields").isNotNull()
-    early = F.coalesce(F.col("min_seq") <= F.col("first_seq"), F.lit(True)) if by_order else F.lit(False)
+    # A record without seq has no order to be admitted by.
+    early = F.col("unordered") | F.coalesce(F.col("min_seq") <= F.col("first_seq"), F.lit(True)) if by_order else F.lit(False)
+    kept = ("first_seq", "has_early", "namespace", "fields", "known", "owner")
     return (
         counted.join(named, "table", "left")
         .select(
             F.when(registered, F.col("table")).alias("table"),
             "bucket",
-            "first_seq",
             F.when(registered, early).alias("has_early"),
-            "namespace",
-            "fields",
-            "known",
+            *[c for c in kept if c != "has_early"],
         )
         .groupBy("table")
-        .agg(*[F.any_value(c).alias(c) for c in ("bucket", "first_seq", "has_early", "namespace", "fields", "known")])
+        .agg(F.collect_set("bucket").alias("buckets"), *[F.any_value(c).alias(c) for c in kept])
     )
 
 
-def _records(spark: SparkSession, store: Store, work: _Work, by_order: bool) -> DataFrame:
-    rows = _staged(spark, store, RECORD_CLASS, work.bucket).where(F.col("table") == work.schema.table)
+def _records(spark: SparkSession, store: Store, gen: int, work: _Work, by_order: bool) -> DataFrame:
+    rows = _staged(spark, store, gen, RECORD_CLASS, work.bucket).where(F.col("table") == work.schema.table)
     if by_order and work.has_early:
         rows = rows.where(F.col("seq") > work.first_seq)
     return rows
@@ -178,7 +180,7 @@ def _records(spark: SparkSession, store: Store, work: _Work, by_order: bool) ->
 
 def _write_rejects(rows: DataFrame, store: Store, gen: int, part: str) -> int:
     folder = f"{store.rejects}/gen={gen}/part={part}"
-    rows.select(*REJECTS.names).write.mode("overwrite").parquet(folder)
+    overwrite(rows.select(*REJECTS.names), folder)
     return rows.sparkSession.read.schema(REJECTS).parquet(folder).count()
 
 
@@ -191,8 +193,10 @@ def _flush_table(
     work: _Work,
 ) -> tuple[int, int, bool]:
     """Write one table's generation and its rejects: rows stored, rows set aside, whether it is new."""
+    if work.owner != work.schema.table:
+        raise NameTaken(f"table '{work.schema.table}' has the place of table '{work.owner}'")
     created = target.ensure(spark, work.schema, work.known)
-    records = _records(spark, store, work, options.admit_by_order)
+    records = _records(spark, store, gen, work, options.admit_by_order)
     split = split_rows(records, work.schema, options.on_bad_row, options.ordered_files)
     target.replace_generation(split, work.schema, gen)
     rejected = target.rejected(spark, work.schema, gen)
@@ -200,26 +204,29 @@ def _flush_table(
     if not rejected.isEmpty():
         set_aside = _write_rejects(rejected, store, gen, f"t-{path_part(work.schema.table)}")
     # Counted from what was written, which stays true after task retries, when accumulators may not.
-    return target.count(spark, work.schema, gen), set_aside, created
+    stored = target.count(spark, work.schema, gen)
+    target.finish(spark, work.schema, gen)
+    return stored, set_aside, created
 
 
-def _frame_rejects(spark: SparkSession, store: Store) -> DataFrame:
+def _frame_rejects(spark: SparkSession, store: Store, gen: int) -> DataFrame:
     """Refused frames and broken registrations."""
-    refused = _staged(spark, store, REJECT_CLASS).select(
+    refused = _staged(spark, store, gen, REJECT_CLASS).select(
         "seq", "table", "payload", "frame", F.col("msg").alias("reason")
     )
     broken = (
-        registrations(_staged(spark, store, REGISTRATION_CLASS))
+        registrations(_staged(spark, store, gen, REGISTRATION_CLASS))
         .where(~F.col("ok"))
-        .select("seq", "table", "payload", F.lit(None).cast("binary").alias("frame"), F.lit(BAD_REGISTRATION).alias("reason"))
+        .select("seq", "table", "payload", "frame", F.lit(BAD_REGISTRATION).alias("reason"))
     )
     return refused.unionByName(broken)
 
 
-def _unadmitted(spark: SparkSession, store: Store, gen: int, by_order: bool) -> DataFrame:
-    """Records that came without or before a registration."""
+def _unadmitted(spark: SparkSession, store: Store, gen: int, by_order: bool, buckets: set[int]) -> DataFrame:
+    """Records that came without or before a registration; only their tables' ``buckets`` are read."""
     first = store.registry(spark, gen).select("table", "first_seq")
-    rows = lookup(_staged(spark, store, RECORD_CLASS), first, "table", F.coalesce("seq", F.xxhash64("payload")))
+    staged = _staged(spark, store, gen, RECORD_CLASS).where(F.col("bucket").isin(sorted(buckets)))
+    rows = lookup(staged, first, "table", F.coalesce("seq", F.xxhash64("payload")))
     late = F.col("first_seq").isNull()
     if by_order:
         late = late | F.coalesce(F.col("first_seq") >= F.col("seq"), F.lit(True))
@@ -228,9 +235,10 @@ def _unadmitted(spark: SparkSession, store: Store, gen: int, by_order: bool) ->
     )
 
 
-def _work_items(rows: Iterator) -> Iterator[_Work]:
-    for row in rows:
-        yield _Work(table_schema(row), row["bucket"], row["first_seq"], row["has_early"], dict(row["known"] or {}))
+def _work_item(row) -> _Work:
+    return _Work(
+        table_schema(row), row["buckets"][0], row["first_seq"], row["has_early"], dict(row["known"] or {}), row["owner"]
+    )
 
 
 def flush_generation(frames: DataFrame, gen: int, target: Target, options: IngestOptions) -> FlushReport:
@@ -238,44 +246,46 @@ def flush_generation(frames: DataFrame, gen: int, target: Target, options: Inges
     spark = frames.sparkSession
     store = Store(options.root)
     by_order = options.admit_by_order
-    known_tables = store.registry(spark, gen - 1).count()
-    stage(frames, store, options, known_tables)
+    stage(frames, store, options, gen)
     _store_registrations(spark, store, gen)
 
     before = store.ledger.read_one(spark, gen).where("committed").select("table", "rows")
     done = {row["table"]: row["rows"] for row in before.toLocalIterator()}
     report = FlushReport(gen, already_committed=tuple(sorted(done)))
     report.rows.update(done)
-    created, failures, has_unadmitted = [], [], False
-
-    def attempt(work: _Work):
-        try:
-            return work, _flush_table(spark, store, target, options, gen, work), None
-        except Exception as error:  # noqa: BLE001 - one table's failure must not stop the others
-            return work, None, error
-
-    rows = _work(spark, store, gen, by_order).toLocalIterator()
+    created, failures, late_buckets = [], [], set()
+    # The driver holds the work of a few tables at a time, and no table waits for a slower one.
+    waiting = BoundedSemaphore(options.parallel_tables * 8)
+    running: list[tuple[TableSchema, Future]] = []
     with ThreadPoolExecutor(options.parallel_tables) as pool:
-        # Tables come from Spark a few at a time, so the driver never holds them all.
-        for chunk in batched(rows, options.parallel_tables * 8):
-            has_unadmitted |= any(row["table"] is None or row["has_early"] for row in chunk)
-            waiting = [row for row in chunk if row["table"] is not None and row["table"] not in done]
-            for work, result, error in pool.map(attempt, _work_items(waiting)):
-                if error is not None:
-                    failures.append((work.schema.table, error))
-                    continue
-                stored, set_aside, is_new = result
-                report.rows[work.schema.table] = stored
-                report.rejected += set_aside
-                if is_new:
-                    created.append((work.schema, target.place(work.schema)))
-
-    refused = _frame_rejects(spark, store)
-    if has_unadmitted:
-        refused = refused.unionByName(_unadmitted(spark, store, gen, by_order))
-    if has_unadmitted or not refused.isEmpty():
+        for row in _work(spark, store, target, gen, by_order).toLocalIterator():
+            if row["table"] is None or row["has_early"]:
+                late_buckets.update(row["buckets"])
+            if row["table"] is None or row["table"] in done:
+                continue
+            waiting.acquire()
+            work = _work_item(row)
+            future = pool.submit(_flush_table, spark, store, target, options, gen, work)
+            future.add_done_callback(lambda _: waiting.release())
+            running.append((work.schema, future))
+    for schema, future in running:
+        # One table's failure must not stop the others.
+        if error := future.exception():
+            failures.append((schema.table, error))
+            continue
+        stored, set_aside, is_new = future.result()
+        report.rows[schema.table] = stored
+        report.rejected += set_aside
+        if is_new:
+            created.append((schema, target.place(schema)))
+
+    refused = _frame_rejects(spark, store, gen)
+    if late_buckets:
+        refused = refused.unionByName(_unadmitted(spark, store, gen, by_order, late_buckets))
+    if late_buckets or not refused.isEmpty():
         report.rejected += _write_rejects(refused, store, gen, "frames")
     _close(spark, store, gen, report, created, failures)
+    remove(spark, store.staged(gen))
     return report
 
 

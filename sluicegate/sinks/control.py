@@ -31,6 +31,17 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, base: st
         return local_rows(spark, [], schema)
 
 
+def overwrite(rows: DataFrame, path: str, *partitions: str) -> None:
+    """Replace the whole folder, also in a session whose overwrites replace only the partitions written."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partitions).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this job wrote and no longer needs."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 class ControlTable:
     def __init__(self, path: str, schema: T.StructType):
         self.path = path
@@ -48,4 +59,4 @@ class ControlTable:
 
     def replace(self, rows: DataFrame, gen: int) -> None:
         kept = [n for n in self.schema.names if n != "gen"]
-        rows.select(*kept).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/gen={gen}")
+        overwrite(rows.select(*kept).coalesce(1), f"{self.path}/gen={gen}")

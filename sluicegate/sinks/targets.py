@@ -20,11 +20,15 @@ from ..operators.lookup import lookup
 from ..operators.registry import TableSchema
 from ..operators.typing import REJECT, REJECTED
 from ..schemas import REJECTS
-from .control import read_or_empty
+from .control import overwrite, read_or_empty, remove
 
 GENERATION = "_gen"
 
 
+class NameTaken(ValueError):
+    """Another table already has this place; the catalog does not tell the two names apart."""
+
+
 class SchemaChanged(ValueError):
     """A registration no longer matches the table it writes to. Tables do not evolve."""
 
@@ -62,7 +66,7 @@ def _table_folder(schema: TableSchema) -> str:
 
 
 def _write_split(split: DataFrame, folder: str) -> None:
-    split.write.mode("overwrite").partitionBy(REJECTED).parquet(folder)
+    overwrite(split, folder, REJECTED)
 
 
 def _good_half(spark: SparkSession, folder: str, schema: TableSchema) -> DataFrame:
@@ -97,9 +101,16 @@ class FolderTarget:
             check_layout(schema, existing)
         return existing is None
 
+    def folds_case(self, spark: SparkSession) -> bool:
+        """Whether names that differ only in case are one place."""
+        return False
+
     def replace_generation(self, split: DataFrame, schema: TableSchema, gen: int) -> None:
         _write_split(split, self._folder(schema, gen))
 
+    def finish(self, spark: SparkSession, schema: TableSchema, gen: int) -> None:
+        """Nothing is left over: the table is the written folder."""
+
     def rejected(self, spark: SparkSession, schema: TableSchema, gen: int) -> DataFrame:
         """Records the last write set aside, read from their own files."""
         return _rejected_half(spark, self._folder(schema, gen))
@@ -153,8 +164,9 @@ def append(rows: DataFrame, name: str) -> None:
 class CatalogTarget:
     """Catalog tables. ``catalog`` names a Spark catalog, or is none for the session catalog.
 
-    The session catalog has one-part namespaces, so longer ones are joined with ``__`` there. ``work`` is
-    a shared folder for the separated rows of the generation being flushed.
+    The session catalog has one-part namespaces, so longer ones are joined with ``__`` there; a part that
+    contains ``__``, or begins or ends with ``_``, is refused. ``work`` is a shared folder for the separated
+    rows of the generation being flushed.
     """
 
     def __init__(self, work: str, catalog: str | None = None, provider: str = "parquet", location: str | None = None):
@@ -166,15 +178,19 @@ class CatalogTarget:
     def namespace(self, schema: TableSchema) -> tuple[str, ...]:
         if self.catalog:
             return (self.catalog, *schema.namespace)
-        if any("__" in part for part in schema.namespace):
-            raise ValueError(f"namespace {list(schema.namespace)} has a part that contains '__'")
+        # Otherwise two namespaces could be joined to one name.
+        if any("__" in part or part != part.strip("_") for part in schema.namespace):
+            raise ValueError(f"namespace {list(schema.namespace)} has a part that contains '__', or begins or ends with '_'")
         return ("__".join(schema.namespace),)
 
     def place(self, schema: TableSchema) -> str:
         return quoted(*self.namespace(schema), schema.table)
 
-    def _folder(self, schema: TableSchema) -> str:
-        return f"{self.work}/separated/{_table_folder(schema)}"
+    def folds_case(self, spark: SparkSession) -> bool:
+        return spark.conf.get("spark.sql.caseSensitive") != "true"
+
+    def _folder(self, schema: TableSchema, gen: int) -> str:
+        return f"{self.work}/separated/{gen}/{_table_folder(schema)}"
 
     def ensure(self, spark: SparkSession, schema: TableSchema, known: dict[str, str]) -> bool:
         check_target(schema)
@@ -186,14 +202,18 @@ class CatalogTarget:
 
     def replace_generation(self, split: DataFrame, schema: TableSchema, gen: int) -> None:
         spark = split.sparkSession
-        _write_split(split, self._folder(schema))
+        _write_split(split, self._folder(schema, gen))
         spark.sql(
             f"INSERT OVERWRITE {_template(self.place(schema))} PARTITION ({GENERATION} = {gen:d}) SELECT * FROM {{rows}}",
-            rows=_good_half(spark, self._folder(schema), schema),
+            rows=_good_half(spark, self._folder(schema, gen), schema),
         )
 
+    def finish(self, spark: SparkSession, schema: TableSchema, gen: int) -> None:
+        """Remove the separated rows once the table and its rejects are written."""
+        remove(spark, self._folder(schema, gen))
+
     def rejected(self, spark: SparkSession, schema: TableSchema, gen: int) -> DataFrame:
-        return _rejected_half(spark, self._folder(schema))
+        return _rejected_half(spark, self._folder(schema, gen))
 
     def count(self, spark: SparkSession, schema: TableSchema, gen: int) -> int:
         return self.stored(spark, schema).where(F.col(GENERATION) == gen).count()

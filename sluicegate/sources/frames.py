@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import FRAMES, GENERATIONS
+from ..sinks.control import overwrite
+
 
 def read_frames(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FRAMES).parquet(path)
@@ -48,4 +50,4 @@ def as_frames(source: DataFrame, frame: Column, seq: Column | None, arrival_ts:
 
 def write_frames(frames: DataFrame, path: str, gen: int) -> None:
     """Store frames as one generation, replacing what an earlier attempt left."""
-    frames.select(*FRAMES.names).write.mode("overwrite").parquet(f"{path.rstrip('/')}/gen={gen}")
+    overwrite(frames.select(*FRAMES.names), f"{path.rstrip('/')}/gen={gen}")

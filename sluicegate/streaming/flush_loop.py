@@ -46,12 +46,17 @@ def start(frames: DataFrame, target: Target, options: IngestOptions) -> Streamin
 
 
 def drain(frames: DataFrame, target: Target, options: IngestOptions, timeout_secs: int | None = None) -> None:
-    """Flush everything there is, then stop. Replays a batch that an earlier run left open."""
+    """Flush everything there is, then stop. Replays a batch that an earlier run left open.
+
+    Raises ``TimeoutError`` when that takes longer than ``timeout_secs``; what is unfinished stays open.
+    """
     query = _writer(frames, target, options).trigger(availableNow=True).start()
     try:
-        query.awaitTermination(timeout_secs)
+        finished = query.awaitTermination(timeout_secs)
     finally:
         query.stop()
+    if finished is False:
+        raise TimeoutError(f"the flush was not finished within {timeout_secs} seconds")
 
 
 def flush_now(frames: DataFrame, target: Target, options: IngestOptions) -> None:

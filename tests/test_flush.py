@@ -1,15 +1,16 @@
 """Flushing a generation: exactly once, whole rejects, several targets."""
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from sluicegate.operators.registry import Field, table_schemas
 from sluicegate.options import IngestOptions
 from sluicegate.plans.fixtures import fields_of, record_frames, registration_frames, registration_json
-from sluicegate.plans.flush import FlushFailed, Store, flush_generation
+from sluicegate.plans.flush import FlushFailed, Store, flush_generation, stage
 from sluicegate.schemas import FRAMES
 from sluicegate.session import local_rows
-from sluicegate.sinks.targets import CatalogTarget, FolderTarget, SchemaChanged, committed_rows
+from sluicegate.sinks.targets import CatalogTarget, FolderTarget, NameTaken, SchemaChanged, committed_rows
 
 A = (Field("x", "long"), Field("s", "string", False))
 
@@ -213,9 +214,8 @@ def _registry(spark, namespace, table):
     return registry(registrations(decode(registration_frames(spark, [_message(0, table, namespace=namespace)]))))
 
 
-@pytest.mark.parametrize("rebalance_above", [0, 100])
-def test_many_tables_with_a_hot_one(spark, root, events, rebalance_above):
-    options = IngestOptions(root, rebalance_above_tables=rebalance_above)
+def test_many_tables_with_a_hot_one(spark, root, events):
+    options = IngestOptions(root)
     target = FolderTarget(root)
     fields = tuple(fields_of(events.schema))
     names = [f"t{i}" for i in range(12)]
@@ -254,3 +254,87 @@ def test_options():
     for wrong in ({"on_bad_row": "skip"}, {"flush_interval_secs": -1}, {"parallel_tables": 0}):
         with pytest.raises(ValueError):
             IngestOptions("r", **wrong)
+
+
+@pytest.fixture(params=["static", "dynamic"])
+def overwrite_mode(request, spark):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
+def test_a_generation_without_a_table_of_the_last_one(spark, root, target, overwrite_mode):
+    options, namespace = IngestOptions(root), _namespace(root)
+    frames = _frames(
+        spark,
+        [_message(0, t, namespace=namespace) for t in "ab"],
+        [_record(1, "a", '{"x":1}'), _record(2, "b", '{"x":2}')],
+    )
+    flush_generation(frames, 0, target, options)
+    flush_generation(local_rows(spark, [_record(3, "b", '{"x":3}')], FRAMES), 1, target, options)
+    flush_generation(frames, 0, target, options)
+    assert _rows(_stored(spark, target, options, "a")) == [(1, None)]
+    assert _rows(_stored(spark, target, options, "b")) == [(2, None), (3, None)]
+
+
+def test_staged_rows_go_when_the_generation_is_closed(spark, root, target):
+    options = IngestOptions(root)
+    frames = _frames(spark, [_message(0, "a", namespace=_namespace(root))], [_record(1, "a", '{"x":1}')])
+    flush_generation(frames, 0, target, options)
+    for folder in ("staged/0", "separated/0/n.a"):
+        with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+            spark.read.parquet(f"{root}/{folder}")
+
+
+def test_names_that_a_catalog_folds(spark, root, target):
+    options, namespace = IngestOptions(root), _namespace(root)
+    frames = _frames(
+        spark,
+        [_message(0, "Case", namespace=namespace), _message(1, "case", namespace=namespace)],
+        [_record(2, "Case", '{"x":1}'), _record(3, "case", '{"x":2}')],
+    )
+    if isinstance(target, FolderTarget):
+        assert flush_generation(frames, 0, target, options).rows == {"Case": 1, "case": 1}
+        assert _rows(_stored(spark, target, options, "case")) == [(2, None)]
+        return
+    with pytest.raises(FlushFailed) as failed:
+        flush_generation(frames, 0, target, options)
+    assert isinstance(failed.value.__cause__, NameTaken) and "'case'" in str(failed.value)
+    assert _rows(_stored(spark, target, options, "Case")) == [(1, None)]
+
+
+def test_namespaces_that_would_join_to_one_name(spark, root):
+    schemas = [next(iter(table_schemas(_registry(spark, n, "t")))) for n in (("a_", "b"), ("a", "_b"))]
+    for schema in schemas:
+        with pytest.raises(ValueError, match="begins or ends"):
+            CatalogTarget(root).place(schema)
+        assert CatalogTarget(root, "lake").place(schema).startswith("`lake`")
+
+
+def test_records_without_seq_are_refused_once(spark, root, target):
+    options = IngestOptions(root)
+    records = [_record(5, "a", '{"x":5}'), _record(None, "a", '{"x":6}'), _record(None, "b", '{"x":7}')]
+    report = flush_generation(_frames(spark, [_message(0, "a", namespace=_namespace(root))], records), 0, target, options)
+    assert (report.rows, report.rejected) == ({"a": 1}, 2)
+    assert _rows(_stored(spark, target, options, "a")) == [(5, None)]
+    unordered = IngestOptions(f"{root}/unordered", admit_by_order=False)
+    messages = [_message(0, "c", namespace=_namespace(root))]
+    assert flush_generation(_frames(spark, messages, [_record(None, "c", '{"x":6}')]), 0, target, unordered).rows == {"c": 1}
+
+
+def test_a_registration_that_is_not_text_is_kept_whole(spark, root):
+    frames = local_rows(spark, [(1, None, b"\x01\xff\xfe\xfd")], FRAMES)
+    flush_generation(frames, 0, FolderTarget(root), IngestOptions(root))
+    (kept,) = Store(root).rejected(spark).collect()
+    assert bytes(kept.frame) == b"\x01\xff\xfe\xfd" and kept.reason == "invalid schema registration"
+
+
+def test_many_tables_in_a_first_generation(spark, root):
+    options, target = IngestOptions(root, parallel_tables=8), FolderTarget(root)
+    names = [f"t{i}" for i in range(60)]
+    frames = _frames(spark, [_message(0, n) for n in names], [_record(1, n, f'{{"x":{i}}}') for i, n in enumerate(names)])
+    stage(frames, Store(root), options, 0)
+    staged = spark.read.parquet(Store(root).staged(0)).where("class = 'record'")
+    assert staged.select("table").distinct().count() == 60 and staged.select("bucket").distinct().count() > 40
+    assert flush_generation(frames, 0, target, options).rows == {n: 1 for n in names}

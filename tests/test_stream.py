@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -102,3 +103,21 @@ def test_micro_batches_and_final_flush(spark, root, events):
 def test_manual_flush_has_to_be_enabled(spark, root):
     with pytest.raises(FlushDisabled, match="manual flush is disabled on this server"):
         flush_now(None, FolderTarget(root), IngestOptions(root))
+
+
+class Slow(FolderTarget):
+    def replace_generation(self, split, schema, gen):
+        time.sleep(20)
+        super().replace_generation(split, schema, gen)
+
+
+def test_an_unfinished_drain_raises(spark, root, events):
+    landed = f"{root}/landed"
+    _register(spark, ["a"], events).coalesce(1).write.parquet(landed)
+    record_frames(events, "a", "event_id").coalesce(1).write.mode("append").parquet(landed)
+    options = IngestOptions(f"{root}/job")
+    with pytest.raises(TimeoutError, match="not finished within 3 seconds"):
+        drain(stream_frames(spark, landed), Slow(options.root), options, timeout_secs=3)
+    assert Store(options.root).ledger.read(spark).isEmpty()
+    drain(stream_frames(spark, landed), FolderTarget(options.root), options)
+    assert _stored(spark, FolderTarget(options.root), options, "a").count() == events.count()
