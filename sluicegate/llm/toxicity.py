@@ -2,7 +2,8 @@
 
 Labels belong to documents, so words are labelled from them: over all learnable texts Spark counts, for
 every word and every word beginning and ending, in how many toxic and other texts it stands. Those that
-stand out (``MIN_G2``) and are mostly toxic (``MIN_PRECISION``) mark the words of toxic texts as toxic.
+stand out (``MIN_G2``, ``MIN_LIFT``, in ``MIN_SHARE`` of the toxic texts) and are mostly toxic
+(``MIN_PRECISION``) mark the words of toxic texts as toxic.
 The field's features are the log-odds of a word's own form, beginnings and endings, and of its neighbours'.
 It is fitted on a bounded sample of labelled rows (``SAMPLE_ROWS``); the table of forms that reaches the
 driver and the tasks is bounded by ``MAX_FORMS``.
@@ -27,11 +28,12 @@ from pyspark.sql import functions as F
 from . import crf
 from .labelled import learnable, prior, sample
 
-SAMPLE_ROWS = 1500
+SAMPLE_ROWS = 1000
 MAX_FORMS = 5000
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
-MIN_G2, MIN_PRECISION, MIN_TEXTS = 25.0, 0.8, 3
+MIN_G2, MIN_LIFT, MIN_PRECISION = 25.0, 2.0, 0.8
+MIN_TEXTS, MIN_SHARE = 3, 0.02
 WORDS_AT_ONCE = 300_000
 MAX_WORDS_KEPT = 400_000
 WORD = re.compile(r"\w+")
@@ -68,7 +70,7 @@ def form_table(docs: DataFrame, learn: DataFrame, n: int, ones: int) -> DataFram
     zero, rest = F.lit(0.0), F.col("n") - F.col("ones")
     part = lambda seen, share: F.when(seen > 0, seen * F.log(seen / (F.col("n") * share))).otherwise(zero)
     g2 = 2 * (part(F.col("ones"), rate) + part(rest, 1 - rate))
-    standing_out = (F.col("ones") >= MIN_TEXTS) & (F.col("ones") > F.col("n") * rate) & (F.col("g2") >= MIN_G2)
+    standing_out = (F.col("ones") >= max(MIN_TEXTS, MIN_SHARE * ones)) & (F.col("ones") >= F.col("n") * (rate * MIN_LIFT)) & (F.col("g2") >= MIN_G2)
     return by_form.withColumn("g2", g2).where(standing_out).orderBy(F.desc("g2"), "form").limit(MAX_FORMS).select("form", "n", "ones")
 
 
@@ -159,14 +161,15 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, folds: int
     odds = {r["form"]: float(np.log((r["ones"] + 0.5) / (r["n"] - r["ones"] + 0.5)) - np.log(ones / (n - ones))) for r in forms}
     marking = frozenset(r["form"] for r in forms if r["ones"] >= MIN_PRECISION * r["n"])
 
-    @F.arrow_udf("struct<n: int, at: array<int>, rows: array<array<double>>>")
+    @F.arrow_udf("struct<n: int, at: binary, rows: binary>")
     def evidence(texts: pa.Array) -> pa.Array:
         words, out = Words(odds, marking), []
         for text in texts:
             numbers = words.numbers(WORD.findall(text.as_py() or ""))
-            on = np.flatnonzero(numbers)
-            out.append({"n": len(numbers), "at": on.tolist(), "rows": [words.rows[k] for k in numbers[on]]})
-        return pa.array(out, pa.struct([("n", pa.int32()), ("at", pa.list_(pa.int32())), ("rows", pa.list_(pa.list_(pa.float64())))]))
+            on = np.flatnonzero(numbers).astype("<i8")
+            rows = np.array([words.rows[k] for k in numbers[on]], "<f4")
+            out.append({"n": len(numbers), "at": on.tobytes(), "rows": rows.tobytes()})
+        return pa.array(out, pa.struct([("n", pa.int32()), ("at", pa.binary()), ("rows", pa.binary())]))
 
     taken = sample(docs, learn, rows).select("y", evidence("text").alias("e")).collect()
     taken = [(r["y"], r["e"]) for r in taken if r["e"]["n"]]
@@ -175,9 +178,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, folds: int
         return Model({}, frozenset(), None, None, None, share)
     counts = np.array([e["n"] for _, e in taken])
     begins = np.cumsum(counts) - counts
-    table = np.array([(0.0,) * N_OWN, *[row for _, e in taken for row in e["rows"]]])
+    found = np.frombuffer(b"".join(e["rows"] for _, e in taken), "<f4").reshape(-1, N_OWN)
+    table = np.concatenate((np.zeros((1, N_OWN)), found))
     numbers = np.zeros(counts.sum(), int)
-    numbers[np.concatenate([b + np.array(e["at"], int) for b, (_, e) in zip(begins, taken)])] = np.arange(1, len(table))
+    numbers[np.concatenate([b + np.frombuffer(e["at"], "<i8") for b, (_, e) in zip(begins, taken)])] = np.arange(1, len(table))
     first = np.zeros(len(numbers), bool)
     first[begins] = True
     labels_now = (np.repeat(y, counts) * (table[numbers, N_OWN - 1] > 0)).astype(int)
