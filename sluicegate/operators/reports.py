@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .decode import RECORD
-from .registry import TableSchema
 from .typing import MALFORMED, with_reasons
 
 
@@ -31,17 +28,16 @@ def reject_counts(rejects: DataFrame) -> DataFrame:
     return rejects.groupBy("table", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-def ingest_summary(admitted: DataFrame, schemas: Sequence[TableSchema]) -> DataFrame:
+def ingest_summary(admitted: DataFrame, registry_rows: DataFrame) -> DataFrame:
     """Per table: frames received, admitted, malformed, bad and stored, in one pass over the frames."""
     records = admitted.where((F.col("kind") == RECORD) & F.col("table").isNotNull())
-    judged = with_reasons(records, schemas)
+    judged = with_reasons(records, registry_rows)
     admitted_ok = F.col("msg").isNull()
     reason = F.col("reason")
-    known = F.col("table").isin(*[s.table for s in schemas])
     return judged.groupBy("table").agg(
         F.count(F.lit(1)).alias("received"),
         _how_many(admitted_ok).alias("admitted"),
         _how_many(admitted_ok & (reason == MALFORMED)).alias("malformed"),
         _how_many(admitted_ok & (reason != MALFORMED)).alias("bad"),
-        _how_many(admitted_ok & known & reason.isNull()).alias("stored"),
+        _how_many(admitted_ok & F.col("registered") & reason.isNull()).alias("stored"),
     )

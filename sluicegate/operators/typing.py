@@ -13,11 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.field_types import cast_sql
+from ..functions.field_types import FALLBACK, SPARK_TYPES, cast_sql, resolve_column
 from ..functions.sql_text import literal, quoted
 from ..schemas import REJECTS
 from .barrier import filterable
-from .registry import Field, TableSchema
+from .registry import Field, TableSchema, with_schema
 
 MALFORMED = "malformed payload"
 NOT_AN_OBJECT = "payload is not an object"
@@ -26,6 +26,11 @@ REJECT = "_reject"
 REJECTED = "_rejected"
 QUARANTINE = "quarantine"
 FAIL = "fail"
+PARSE_OPTIONS = {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+UNPARSED = (
+    "CASE WHEN NOT startswith(ltrim(payload), '{') AND try_parse_json(payload) IS NOT NULL "
+    f"THEN {literal(NOT_AN_OBJECT)} ELSE {literal(MALFORMED)} END"
+)
 
 
 class AmbiguousFields(ValueError):
@@ -59,13 +64,7 @@ def parse_object(payload: Column, fields: Sequence[Field]) -> Column:
     """Payload as a struct of texts, declared keys only, plus the broken-payload marker."""
     broken = _broken_column(fields)
     schema = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
-    options = {
-        "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": broken,
-        "allowSingleQuotes": "false",
-        "allowNonNumericNumbers": "false",
-    }
-    return F.from_json(payload, schema.add(broken, T.StringType()), options)
+    return F.from_json(payload, schema.add(broken, T.StringType()), {**PARSE_OPTIONS, "columnNameOfCorruptRecord": broken})
 
 
 def _values_sql(parsed: str, fields: Sequence[Field]) -> list[str]:
@@ -77,9 +76,7 @@ def _reason_sql(parsed: str, fields: Sequence[Field], values: Sequence[str]) ->
     """SQL for the first reason to set a row aside, in field order; ``values`` are the cast columns."""
     texts = [f"{parsed}.{quoted(f.name)}" for f in fields]
     broken = f"{parsed}.{quoted(_broken_column(fields))}"
-    other_json = "NOT startswith(ltrim(payload), '{') AND try_parse_json(payload) IS NOT NULL"
-    unparsed = f"CASE WHEN {other_json} THEN {literal(NOT_AN_OBJECT)} ELSE {literal(MALFORMED)} END"
-    checks = [f"WHEN {parsed} IS NULL OR {broken} IS NOT NULL THEN {unparsed}"]
+    checks = [f"WHEN {parsed} IS NULL OR {broken} IS NOT NULL THEN {UNPARSED}"]
     for field, text, value in zip(fields, texts, values):
         if field.required:
             checks.append(f"WHEN {text} IS NULL THEN {literal(missing_required(field.name))}")
@@ -165,37 +162,30 @@ def unregistered_rows(looked_up: DataFrame) -> DataFrame:
     return dropped.select("seq", "table", "payload", "frame", F.lit(NO_SCHEMA).alias("reason"))
 
 
-TABLES_PER_PASS = 32
+# Lambda bodies see one declared field with its payload text as ``r``.
+_TYPE_FAILS = " ".join(
+    f"WHEN {literal(t)} THEN ({cast_sql('r.text', t)}) IS NULL" for t in SPARK_TYPES if t != FALLBACK
+)
+_FIRST_REASON = f"""
+get(filter(transform(
+  transform(fields, f -> named_struct('name', f.name, 'type', f.type, 'required', f.required,
+    'text', try_element_at(filter(map_entries(_m), e -> e.key = f.name), -1).value)),
+  r -> CASE WHEN r.required AND r.text IS NULL THEN concat({literal("missing required field '")}, r.name, {literal("'")})
+            WHEN r.text IS NOT NULL AND CASE r.type {_TYPE_FAILS} ELSE false END THEN concat({literal("bad value for '")}, r.name, {literal("'")}) END),
+  reason -> reason IS NOT NULL), 0)"""
 
 
-def with_reasons(admitted: DataFrame, schemas: Sequence[TableSchema], tables_per_pass: int = TABLES_PER_PASS) -> DataFrame:
-    """Records of several tables with the ``reason`` each would be set aside for, if any.
+def with_reasons(admitted: DataFrame, registry_rows: DataFrame) -> DataFrame:
+    """Records of all tables with the ``reason`` each would be set aside for, and whether they are ``registered``.
 
-    Up to ``tables_per_pass`` tables share one scan: each row is parsed once, by its own table's schema.
+    One scan at any number of tables: payloads are parsed as maps, and the declared fields come as data
+    from the registry and are judged in declared order.
     """
-    kept = admitted.columns
-    groups = [schemas[i : i + tables_per_pass] for i in range(0, len(schemas), tables_per_pass)]
-    parts = []
-    for group in groups:
-        rows = admitted
-        if len(groups) > 1:
-            rows = rows.where(F.col("table").isin(*[s.table for s in group]))
-        rows = rows.select(
-            *kept,
-            *[
-                F.when(F.col("table") == s.table, parse_object(F.col("payload"), s.fields)).alias(f"_p{i}")
-                for i, s in enumerate(group)
-            ],
-        )
-        reason = F.lit(None).cast("string")
-        for i, s in enumerate(group):
-            own = _reason_sql(f"_p{i}", s.fields, _values_sql(f"_p{i}", s.fields))
-            reason = F.when(F.col("table") == s.table, F.expr(own)).otherwise(reason)
-        parts.append(rows.select(*kept, reason.alias("reason")))
-    if len(groups) != 1:
-        others = F.coalesce(~F.col("table").isin(*[s.table for s in schemas]), F.lit(True))
-        parts.append(admitted.where(others).select(*kept, F.lit(None).cast("string").alias("reason")))
-    combined = parts[0]
-    for part in parts[1:]:
-        combined = combined.unionByName(part)
-    return combined
+    fields = F.transform(
+        "fields", lambda f: F.struct(f["name"].alias("name"), resolve_column(f["type"]).alias("type"), f["required"].alias("required"))
+    )
+    found = with_schema(admitted, registry_rows.select("table", "namespace", fields.alias("fields")))
+    parsed = F.from_json("payload", "map<string, string>", PARSE_OPTIONS)
+    rows = found.select(*admitted.columns, "fields", F.when(F.col("fields").isNotNull(), parsed).alias("_m"))
+    reason = f"CASE WHEN fields IS NULL THEN NULL WHEN _m IS NULL THEN {UNPARSED} ELSE {_FIRST_REASON} END AS reason"
+    return rows.selectExpr(*[quoted(c) for c in admitted.columns], "fields IS NOT NULL AS registered", reason)

@@ -384,8 +384,7 @@ def ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = _messages_of(spark, sf_dir, ["events", "orders"])
     messages.append(_message("customer", fields_of(load(spark, sf_dir, "customer").schema), seq=100))
     known = _registry_of(spark, messages)
-    schemas = sorted(table_schemas(known), key=lambda s: s.table)
-    return reports.ingest_summary(admit(decode(frames), known), schemas)
+    return reports.ingest_summary(admit(decode(frames), known), known)
 
 
 def stored_generation(spark: SparkSession, sf_dir: str) -> DataFrame:

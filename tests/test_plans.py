@@ -58,11 +58,21 @@ def test_columns_that_are_not_needed_are_not_read(stored):
     assert "ReadSchema: struct<frame:binary>" in plan
 
 
-def test_summary_is_one_scan_with_partial_aggregation(stored, known, events):
-    fields = tuple(fields_of(events.schema))
-    schemas = [TableSchema(n, ("n",), fields) for n in ("events", "b", "c")]
-    plan = plan_of(ingest_summary(admit(decode(stored), known), schemas))
-    assert plan.count("FileScan parquet") == 1 and "partial_count" in plan
+@pytest.mark.parametrize("tables", [3, 33, 320])
+def test_summary_is_one_scan_with_partial_aggregation(spark, stored, known, events, tables):
+    fields = [(f.name, f.type, f.required) for f in fields_of(events.schema)]
+    rows = [(n, ["n"], fields) for n in ["events", *[f"t{i}" for i in range(tables - 1)]]]
+    kinds = "table string, namespace array<string>, fields array<struct<name: string, type: string, required: boolean>>"
+    plan = plan_of(ingest_summary(admit(decode(stored), known), spark.createDataFrame(rows, kinds)))
+    assert plan.count("FileScan parquet") == 1 and "partial_count" in plan and plan.count("from_json") == 1
+
+
+@pytest.mark.parametrize("ordered", [False, True])
+def test_casts_are_planned_once(stored, events, ordered):
+    schema = TableSchema("events", ("n",), tuple(fields_of(events.schema)))
+    optimized = split_rows(decode(stored), schema, ordered=ordered)._jdf.queryExecution().optimizedPlan().toString()
+    # event_id, user_id and value, and three ways to write the instant.
+    assert optimized.count("try_cast") == 6
 
 
 def test_generation_scan_is_pruned(spark, root, stored):

@@ -65,20 +65,41 @@ def test_fail_stops_on_bad_rows_only(records):
         ty.typed_rows(records, SCHEMA, "ignore")
 
 
-@pytest.mark.parametrize("tables_per_pass", [1, 2, 32])
-def test_many_tables_in_one_pass(spark, records, tables_per_pass):
+def registry_of(spark, schemas):
+    rows = [(s.table, list(s.namespace), [(f.name, f.type, f.required) for f in s.fields]) for s in schemas]
+    return spark.createDataFrame(
+        rows, "table string, namespace array<string>, fields array<struct<name: string, type: string, required: boolean>>"
+    )
+
+
+def test_many_tables_in_one_pass(spark, records):
     other = TableSchema("u", ("n",), (Field("a", "boolean"),))
     third = TableSchema("v", ("n",), (Field("s", "string"),))
     both = records.unionByName(records.withColumn("table", F.lit("u"))).unionByName(
         records.withColumn("table", F.lit("elsewhere"))
     )
-    found = ty.with_reasons(both, [SCHEMA, other, third], tables_per_pass)
+    found = ty.with_reasons(both, registry_of(spark, [SCHEMA, other, third]))
     assert found.count() == 3 * len(CASES)
     by_table = {t: {r.seq: r.reason for r in found.where(F.col("table") == t).collect()} for t in ("t", "u", "elsewhere")}
     assert by_table["t"] == {i: reason for i, (_, reason) in enumerate(CASES)}
     expected = {r.seq: r.reason for r in ty.rejected_rows(records, other).collect()}
     assert {i: r for i, r in by_table["u"].items() if r} == expected
     assert set(by_table["elsewhere"].values()) == {None}
+    assert {r.table: r.registered for r in found.select("table", "registered").distinct().collect()} == {"t": True, "u": True, "elsewhere": False}
+
+
+def test_reasons_of_all_types_are_those_of_the_typed_rows(spark):
+    from sluicegate.functions.field_types import SPELLINGS
+
+    texts = ["1", "x", "1.5", "true", "2024-01-31", "2024-01-31T10:11:12Z", "1d", "ABC", "AB", "", "-7", "99999999999"]
+    payloads = [f'{{"v":"{t}"}}' for t in texts] + ['{"v":7}', '{"v":1e3}', '{"v":{"k":1}}', '{"v":[1]}', '{"v":true}']
+    rows = [(i, t, p, None) for t in SPELLINGS for i, p in enumerate(payloads)]
+    records = spark.createDataFrame(rows, "seq bigint, table string, payload string, frame binary")
+    schemas = [TableSchema(t, ("n",), (Field("v", t),)) for t in SPELLINGS]
+    found = {(r.table, r.seq): r.reason for r in ty.with_reasons(records, registry_of(spark, schemas)).collect()}
+    for schema in schemas:
+        own = {r.seq: r.reason for r in ty.rejected_rows(records.where(F.col("table") == schema.table), schema).collect()}
+        assert own == {i: reason for (t, i), reason in found.items() if t == schema.table and reason}
 
 
 def test_columns_declared_twice(spark, records):
