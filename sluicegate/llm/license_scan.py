@@ -45,7 +45,7 @@ GAP = 2
 MIN_COVER = 0.7
 MAX_STRETCH = 2.0
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-KELVIN = "K"
+KELVIN = "\u212a"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 

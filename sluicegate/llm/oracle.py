@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import license_scan, line_chunks, secret_scan
+from . import embedding_links, license_scan, line_chunks, secret_scan
 
 
 def _values(rows: list[tuple]) -> str:
@@ -102,8 +102,22 @@ def _line_chunks() -> str:
     FROM documents LEFT JOIN texts t USING (doc_id)"""
 
 
+def _embedding_links() -> str:
+    """All pairs by brute force; the operator finds a pair with a high chance only, so this is for small tables."""
+    return f"""
+    WITH RECURSIVE vectors AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+    links AS (SELECT a.vec_id AS u, b.vec_id AS v FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id
+              WHERE list_cosine_similarity(a.e, b.e) >= {embedding_links.MIN_COSINE}),
+    reached AS (SELECT vec_id AS u, vec_id AS v FROM vectors UNION SELECT r.u, l.v FROM reached r JOIN links l ON r.v = l.u),
+    least AS (SELECT u AS vec_id, min(v) AS component_id FROM reached GROUP BY 1),
+    counted AS (SELECT u AS vec_id, count(*) AS n FROM links GROUP BY 1)
+    SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+    FROM least LEFT JOIN counted USING (vec_id)"""
+
+
 ORACLE_SQL = {
     "op2_license_scan": _license_scan(),
     "op4_line_chunks": _line_chunks(),
     "op6_secret_scan": _secret_scan(),
+    "op7_embedding_links": _embedding_links(),
 }
