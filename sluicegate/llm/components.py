@@ -1,7 +1,7 @@
 """Connected components of a link table, by alternating large and small stars.
 
 Every round groups by node with partial aggregation and joins the minimum back, so a hub with many links
-is split like any skewed join key. Rounds are written to the shared folder; nothing but two numbers a
+is split like any skewed join key. Minima and rounds are written to the shared folder; nothing but two numbers a
 round reaches the driver. The number of rounds grows with the logarithm of the longest chain.
 """
 
@@ -16,7 +16,8 @@ from .kept import keep
 def _with_least(edges: DataFrame) -> DataFrame:
     """``edges`` (u, v) with the least of u and all its v as ``m``."""
     least = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return edges.join(least, "u")
+    # Written, so that the join reads both sides from shuffles of its own and Spark can split a hub.
+    return edges.join(keep(least, "least"), "u")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
