@@ -7,8 +7,8 @@ by side; row indexes (an entry for each ``ROWS_PER_INDEX`` rows) and Bloom filte
 lookup of a few documents skip the rest. Global starts need one number per file: its token total.
 
 A text is encoded by the tokenizer file's own rules. Pieces between blanks are independent of each other
-under those rules, so a piece is encoded once per task and then looked up; the store of pieces is emptied
-at a fixed size, which changes the time and not the result.
+under those rules, so a piece is encoded once and then looked up; the store of pieces has a fixed size,
+which changes the time and not the result.
 
 Nulls and empty texts give the end id alone. Rows that repeat a ``doc_id`` keep a row each, ordered by the
 hash of their text; null ids come first. An empty table gives files without rows. Columns beyond ``doc_id``
@@ -18,8 +18,10 @@ and ``text`` are not written, whatever their names.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -32,14 +34,18 @@ from ..session import working_folder
 END_ID = 2
 ROWS_PER_INDEX = 1000
 BLOOM_FALSE_POSITIVES = 0.01
-MAX_PIECES = 400_000
+MAX_PIECES = 300_000
+ROWS_PER_BATCH = 2000
 FILE_SCHEMA = "doc_id bigint, part int, before bigint, n_tokens bigint, ids array<int>"
 # A mark between a letter and a blank is a piece of its own under the tokenizer's rules.
 TRAILING_MARK = re.compile(r"[,.](?<=[a-zà-öø-ÿ][,.])(?=[ \n])")
 
 
 class Encoder:
-    """``text -> ids`` as little-endian bytes, with a bounded store of encoded pieces."""
+    """``text -> ids`` as little-endian bytes, with a bounded store of encoded pieces.
+
+    The store has two generations: a full one becomes the old one, and pieces move on when they come again.
+    """
 
     def __init__(self, tokenizer_path: str, max_pieces: int = MAX_PIECES):
         from tokenizers import Tokenizer
@@ -47,19 +53,23 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.max_pieces = max_pieces
         self.pieces: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
         self.is_end[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def __call__(self, text: str) -> bytes:
-        pieces = self._split(text)
-        try:
-            return b"".join(map(self.pieces.__getitem__, pieces))
-        except KeyError:
-            self._learn(pieces)
-            ids = b"".join(map(self.pieces.__getitem__, pieces))
+        return self.many([text])[0]
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; new pieces of all of them are encoded together."""
+        split = [self._split(text) for text in texts]
+        new = set().union(*split).difference(self.pieces)
+        if new:
+            self._learn(new)
+        ids = [b"".join(map(self.pieces.__getitem__, pieces)) for pieces in split]
         if len(self.pieces) > self.max_pieces:
-            self.pieces.clear()
+            self.old, self.pieces = self.pieces, {}
         return ids
 
     def _split(self, text: str) -> list[str]:
@@ -73,32 +83,46 @@ class Encoder:
                 plain = TRAILING_MARK.sub(r" \g<0>", text.lower())
         return plain.replace("\n", " ").split(" ")
 
-    def _learn(self, pieces: list[str]) -> None:
-        new = [p for p in dict.fromkeys(pieces) if p not in self.pieces]
-        # Plain words are one pre-token each, which ends in one id with an end mark: encode them as one text.
-        words = [p for p in new if p.isascii() and p.isalpha()]
+    def _learn(self, found: set[str]) -> None:
+        back = found.intersection(self.old)
+        self.pieces.update((p, self.old[p]) for p in back)
+        new = found - back
+        # A piece of letters is one pre-token, which ends in one id with an end mark: encode such as one text.
+        words = [p for p in new if p.isalpha()]
         if words:
-            ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+            (encoded,) = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+            ids = np.array(encoded.ids, "<u4")
             ends = np.flatnonzero(self.is_end[ids]) + 1
             if len(ends) == len(words):
                 data, begin = ids.tobytes(), 0
                 for word, end in zip(words, (ends * 4).tolist()):
                     self.pieces[word] = data[begin:end]
                     begin = end
-        for piece in new:
-            if piece not in self.pieces:
-                ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-                self.pieces[piece] = np.array(ids, "<u4").tobytes()
+                new.difference_update(words)
+        rest = list(new)
+        for piece, encoded in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            self.pieces[piece] = np.array(encoded.ids, "<u4").tobytes()
+
+
+def _encoder(tokenizer_path: str) -> Encoder:
+    """One encoder per Python worker, kept from task to task.
+
+    Task functions arrive by value and have globals of their own, so the encoder is kept in ``sys.modules``.
+    """
+    kept = sys.modules.setdefault("_kept_encoders", ModuleType("_kept_encoders")).__dict__
+    if tokenizer_path not in kept:
+        kept[tokenizer_path] = Encoder(tokenizer_path)
+    return kept[tokenizer_path]
 
 
 def _encoded(tokenizer_path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, before = Encoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        encoder, part, before = _encoder(tokenizer_path), TaskContext.get().partitionId(), 0
         for whole in batches:
             for batch in _slices(whole):
-                data = [encoder(text or "") + end for text in batch.column("text").to_pylist()]
+                data = [ids + end for ids in encoder.many([text or "" for text in batch.column("text").to_pylist()])]
                 counts = np.fromiter((len(d) // 4 for d in data), np.int64, len(data))
                 befores = before + np.concatenate(([0], np.cumsum(counts)))
                 before = int(befores[-1])
@@ -118,7 +142,7 @@ def _encoded(tokenizer_path: str, end_id: int) -> Callable[[Iterator[pa.RecordBa
     return encode
 
 
-def _slices(batch: pa.RecordBatch, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch of about ``max_bytes`` of text each, one row at least."""
     sizes = np.array(pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0), np.int64)
     group = (np.cumsum(sizes) - sizes) // max_bytes
@@ -138,14 +162,22 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID,
     names = [c for c in keyed.columns if c.startswith("_k")]
     ordered = keyed.repartitionByRange(*names).sortWithinPartitions(*names).select("doc_id", "text")
     rows = ordered.mapInArrow(_encoded(tokenizer_path, end_id), FILE_SCHEMA)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").options(
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static").options(
         **{
             "compression": "zstd",
             "orc.bloom.filter.columns": "doc_id",
             "orc.bloom.filter.fpp": str(BLOOM_FALSE_POSITIVES),
             "orc.row.index.stride": str(ROWS_PER_INDEX),
         }
-    ).orc(path)
+    )
+    # Long texts come to the workers in small batches while this job runs.
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key)
+    conf.set(key, ROWS_PER_BATCH)
+    try:
+        writer.orc(path)
+    finally:
+        conf.set(key, before)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
