@@ -79,7 +79,8 @@ def dedup(
     )
     copies = keep(chunks.join(repeated.select("hash", "first"), "hash"), "copies")
     is_first = F.struct("id", "mark", "number").eqNullSafe(F.col("first"))
-    originals = copies.where(is_first).groupBy("hash").agg(F.first("chunk").alias("original"))
+    # Written, so that the next join reads both sides from shuffles of its own and Spark can split a frequent hash.
+    originals = keep(copies.where(is_first).groupBy("hash").agg(F.first("chunk").alias("original")), "originals")
     removed = (
         copies.where(~is_first)
         .join(originals, "hash")
