@@ -14,7 +14,9 @@ Blocks need the rank of a document within its source. Documents are range-partit
 written once; a rank is the row's place in its file plus the counts of earlier files, so a source with a
 third of all rows is many tasks. No document is dropped or repeated.
 
-A null source, or one without a weight, belongs to the rest, which has a weight of its own. Null ids come
+A null source, or one without a weight, belongs to the rest, which has a weight of its own; ``every_source``
+gives each source found a weight, so that only null and empty ones are left there. A period has ``QUANTUM`` slots,
+so with some hundreds of sources and more their shares are rounded to whole slots, one at least. Null ids come
 first; rows that repeat an id are ordered by the hash of their text. An empty table gives an empty mix.
 """
 
@@ -23,6 +25,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from heapq import heappop, heappush
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,17 +51,40 @@ def shares(weights: Mapping[str, float], rest: float, quantum: int = QUANTUM) ->
     return whole
 
 
+def every_source(docs: DataFrame, weights: Mapping[str, float], rest: float) -> tuple[dict[str, float], float]:
+    """``weights`` with one for each other source of ``docs``, and what is left for null sources.
+
+    ``rest`` is divided by the numbers of rows, so that the other sources go on until the last of their rows.
+    """
+    counted = docs.groupBy("source").agg(F.count(F.lit(1)).alias("n")).collect()
+    others = {r["source"] or REST: 0 for r in counted if r["source"] not in weights}
+    for r in counted:
+        if r["source"] not in weights:
+            others[r["source"] or REST] += r["n"]
+    total = sum(others.values())
+    if not total:
+        return dict(weights), rest
+    divided = {s: rest * n / total for s, n in others.items()}
+    left = divided.pop(REST, 0.0)
+    return {**weights, **divided}, left
+
+
 def period(active: Mapping[str, int]) -> list[str]:
     """The source of each slot of one period: earliest deadline first among released blocks."""
     length = sum(active.values())
     done = dict.fromkeys(active, 0)
+    waiting, released = [(0, s) for s in sorted(active)], []
     slots = []
     for slot in range(length):
-        released = [s for s, a in active.items() if done[s] < a and done[s] * length // a <= slot]
-        # the deadline of block i + 1 is ceil((i + 1) * length / a)
-        first = min(released, key=lambda s: (-(-(done[s] + 1) * length // active[s]), s))
+        while waiting and waiting[0][0] <= slot:
+            _, s = heappop(waiting)
+            # the deadline of block i + 1 is ceil((i + 1) * length / a)
+            heappush(released, (-(-(done[s] + 1) * length // active[s]), s))
+        _, first = heappop(released)
         done[first] += 1
         slots.append(first)
+        if done[first] < active[first]:
+            heappush(waiting, (done[first] * length // active[first], first))
     return slots
 
 

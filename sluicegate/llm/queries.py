@@ -9,7 +9,7 @@ from . import decontaminate, embedding_links, license_scan, line_chunks, mixing,
 from .labelled import remainder
 from .oracle import ORACLE_SQL as ORACLE_SQL
 
-# Target shares of the mix: three named sources, and one share for all others together.
+# Target shares of the mix: three named sources, and one share that all others divide by their rows.
 SOURCE_WEIGHTS = {"src0": 0.25, "src1": 0.15, "src2": 0.1}
 REST_WEIGHT = 0.5
 
@@ -48,7 +48,7 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    return mixing.mixed(docs, SOURCE_WEIGHTS, REST_WEIGHT)
+    return mixing.mixed(docs, *mixing.every_source(docs, SOURCE_WEIGHTS, REST_WEIGHT))
 
 
 def op4_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
