@@ -15,6 +15,8 @@ each gives its row. Columns of the input beyond ``doc_id`` and ``text`` are igno
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -97,11 +99,13 @@ def scan(
     spark = docs.sparkSession
     grams = template_grams(spark, templates, k)
     text = F.coalesce(F.col("text"), F.lit(""))
+    # A text that holds none of the phrases' longest words holds no phrase.
+    longest = sorted({max(reversed(phrase.split()), key=len) for _, phrase in phrases})
     rows = docs.select("doc_id", text.alias("text")).select(
         F.monotonically_increasing_id().alias("rid"),
         "doc_id",
         words_of(F.col("text")).alias("words"),
-        F.contains(F.lower(F.col("text")), F.lit("license")).alias("has_base"),
+        reduce(or_, [F.contains(lower_ascii(F.col("text")), F.lit(word)) for word in longest]).alias("has_base"),
     )
     none = F.array().cast("array<int>")
     found = rows.select(
