@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embedding_links, license_scan, line_chunks, mixing, quality, secret_scan, simhash, token_files, toxicity
+from . import decontaminate, embedding_links, license_scan, line_chunks, mixing, quality, secret_scan, simhash, token_counts, token_files, toxicity
 from .labelled import remainder
 from .oracle import ORACLE_SQL as ORACLE_SQL
 
@@ -24,6 +24,12 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def _judged(judged: DataFrame, folds: int, held_out: int, threshold: float, *more: str) -> DataFrame:
     score: Column = F.col("judged.score")
     return judged.select(
@@ -83,4 +89,23 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(judged, quality.FOLDS, quality.HELD_OUT, quality.THRESHOLD, "n_lines", "n_bad_lines")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_license_scan, op3_mixing, op4_line_chunks, op5_simhash, op6_secret_scan, op7_embedding_links, op8_decontaminate, op9_token_files, op10_quality)}
\ No newline at end of file
+def op13_token_counts(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path or byte_tokenizer())
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_toxicity,
+        op2_license_scan,
+        op3_mixing,
+        op4_line_chunks,
+        op5_simhash,
+        op6_secret_scan,
+        op7_embedding_links,
+        op8_decontaminate,
+        op9_token_files,
+        op10_quality,
+        op13_token_counts,
+    )
+}
