@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embedding_links, license_scan, line_chunks, mixing, quality, secret_scan, simhash, token_counts, token_files, toxicity
+from . import conversation_trie, decontaminate, embedding_links, license_scan, line_chunks, mixing, quality, secret_scan, simhash, token_counts, token_files, toxicity
 from .labelled import remainder
 from .oracle import ORACLE_SQL as ORACLE_SQL
 
@@ -89,6 +89,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(judged, quality.FOLDS, quality.HELD_OUT, quality.THRESHOLD, "n_lines", "n_bad_lines")
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.nodes(*conversation_trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path or byte_tokenizer())
 
@@ -106,6 +110,7 @@ QUERIES = {
         op8_decontaminate,
         op9_token_files,
         op10_quality,
+        op11_conversation_trie,
         op13_token_counts,
     )
 }
