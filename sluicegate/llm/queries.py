@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversation_trie, decontaminate, embedding_links, license_scan, line_chunks, mixing, quality, secret_scan, simhash, token_counts, token_files, toxicity
+from . import conversation_trie, decontaminate, embedding_links, license_scan, line_chunks, mixing, quality, secret_scan, simhash, spelling_variants, token_counts, token_files, toxicity
 from .labelled import remainder
 from .oracle import ORACLE_SQL as ORACLE_SQL
 
@@ -93,6 +93,10 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.nodes(*conversation_trie.rebuilt(table(spark, sf_dir, "conversations")))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, sf_dir, "documents"))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path or byte_tokenizer())
 
@@ -111,6 +115,7 @@ QUERIES = {
         op9_token_files,
         op10_quality,
         op11_conversation_trie,
+        op12_spelling_variants,
         op13_token_counts,
     )
 }
