@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embedding_links, license_scan, line_chunks, secret_scan
+from . import conversation_trie, embedding_links, license_scan, line_chunks, secret_scan, spelling_variants
 
 
 def _values(rows: list[tuple]) -> str:
@@ -115,9 +115,69 @@ def _embedding_links() -> str:
     FROM least LEFT JOIN counted USING (vec_id)"""
 
 
+# The unsigned crc32 of UTF-8 text, byte by byte over a table worked out from the polynomial.
+CRC32 = """
+    crc_table AS (SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY b) AS t
+                  FROM range(256) r(b)),
+    crcs AS (SELECT key, xor(list_reduce(list_prepend(4294967295, list_transform(range(length(hex(encode(key))) // 2), lambda i: ('0x' || substr(hex(encode(key)), 2 * i + 1, 2))::BIGINT)),
+                                         lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])), 4294967295) AS crc
+             FROM (SELECT DISTINCT key FROM keys), crc_table)"""
+
+
+def _conversation_trie() -> str:
+    c = conversation_trie
+    return f"""
+    WITH turns AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+                   FROM conversations WHERE conv_id IS NOT NULL),
+    keys AS (SELECT DISTINCT conv_id::VARCHAR AS key FROM turns), {CRC32},
+    convs AS (SELECT a.conv_id, a.conv_id - a.conv_id % {c.FAMILY} AS head, crc % {c.MAX_BORROWED + 1} AS h, a.n,
+                     least(crc % {c.MAX_BORROWED + 1}, coalesce(b.n, 0)) AS borrowed
+              FROM (SELECT conv_id, count(*) AS n FROM turns GROUP BY 1) a JOIN crcs ON key = a.conv_id::VARCHAR
+              LEFT JOIN (SELECT conv_id, count(*) AS n FROM turns GROUP BY 1) b ON b.conv_id = a.conv_id - a.conv_id % {c.FAMILY}),
+    rebuilt AS (SELECT c.conv_id, i AS d, role, text FROM convs c JOIN turns t ON t.conv_id = c.head AND i <= h
+                UNION ALL SELECT c.conv_id, i - h + borrowed, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND i > h),
+    paths AS (SELECT conv_id, d, strlen(text) AS bytes, string_agg(sha256(strlen(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY d) AS prefix FROM rebuilt),
+    members AS (SELECT conv_id, d, bytes, sha256(prefix) AS node, coalesce(lag(sha256(prefix)) OVER (PARTITION BY conv_id ORDER BY d), '') AS above FROM paths
+                UNION ALL SELECT conv_id, 0, 0, '', NULL FROM convs),
+    lengths AS (SELECT conv_id, max(d) AS length FROM members GROUP BY 1),
+    nodes AS (SELECT node, any_value(above) AS above, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS saving,
+                     sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (d = length), '')) AS ends_sha256
+              FROM members JOIN lengths USING (conv_id) GROUP BY 1),
+    children AS (SELECT above AS node, count(*) AS n FROM nodes WHERE above IS NOT NULL GROUP BY 1),
+    below AS (SELECT m.node, count(*) FILTER (c.n IS NULL) AS n_leaves, sum(u.saving)::BIGINT AS saved_tokens
+              FROM nodes u JOIN members m ON m.conv_id = u.conv_id AND m.d <= u.depth LEFT JOIN children c ON c.node = u.node GROUP BY 1)
+    SELECT v.conv_id, v.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, v.n_convs, coalesce(c.n, 0)::BIGINT AS n_children, n_leaves, saved_tokens, v.ends_sha256
+    FROM nodes v JOIN below USING (node) LEFT JOIN children c USING (node) LEFT JOIN nodes p ON p.node = v.above"""
+
+
+def _spelling_variants() -> str:
+    c = spelling_variants
+    return f"""
+    WITH RECURSIVE runs AS (SELECT coalesce(doc_id::VARCHAR, '') AS doc, unnest(regexp_extract_all(translate(text, '{c.UPPER}', '{c.LOWER}'), '{c.RUN}')) AS run
+                            FROM documents),
+    keys AS (SELECT doc || ':' || run AS key FROM runs), {CRC32},
+    spelled AS (SELECT CASE WHEN crc % {c.DIVISOR} = 0 THEN substr(run, 1, (crc % length(run))::INT) || substr(run, (crc % length(run))::INT + 2) ELSE run END AS word
+                FROM runs JOIN crcs ON key = doc || ':' || run),
+    words AS (SELECT word, count(*) AS n FROM spelled WHERE length(word) >= {c.MIN_LENGTH} GROUP BY 1 HAVING count(*) >= {c.MIN_COUNT}),
+    holes AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+    left_out AS (SELECT word, n, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail FROM holes),
+    near AS (SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM left_out a JOIN left_out b ON a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+             UNION SELECT l.word, l.n, w.word, w.n FROM left_out l JOIN words w ON w.word = l.head || l.tail
+             UNION SELECT w.word, w.n, l.word, l.n FROM left_out l JOIN words w ON w.word = l.head || l.tail),
+    best AS (SELECT word, any_value(n) AS n, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n FROM near GROUP BY 1),
+    forms AS (SELECT word, other AS form, other_n AS form_n FROM best WHERE other_n >= {c.RATIO} * n),
+    chains AS (SELECT word, word AS reached, 0 AS steps FROM words UNION ALL SELECT ch.word, f.form, steps + 1 FROM chains ch JOIN forms f ON f.word = ch.reached),
+    roots AS (SELECT word, arg_max(reached, steps) AS root FROM chains GROUP BY 1)
+    SELECT w.word, form, root, w.n, coalesce(n_near, 0)::BIGINT AS n_near, form_n
+    FROM words w JOIN roots USING (word) LEFT JOIN forms USING (word) LEFT JOIN best USING (word)"""
+
+
 ORACLE_SQL = {
     "op2_license_scan": _license_scan(),
     "op4_line_chunks": _line_chunks(),
     "op6_secret_scan": _secret_scan(),
     "op7_embedding_links": _embedding_links(),
+    "op11_conversation_trie": _conversation_trie(),
+    "op12_spelling_variants": _spelling_variants(),
 }

@@ -13,7 +13,7 @@ def duck():
 
 
 def test_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
     assert set(ORACLE_SQL) <= set(entry_points.oracle_sql())
 
