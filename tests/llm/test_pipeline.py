@@ -1,6 +1,5 @@
 """Every stage against a plain version, on what the stage before kept."""
 
-import numpy as np
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
@@ -8,7 +7,7 @@ from sluicegate.llm import mixing, quality
 from sluicegate.llm.kept import keep
 from sluicegate.llm.queries import REST_WEIGHT, SOURCE_WEIGHTS, word_tokenizer
 from test_decontaminate import plain_matches
-from test_simhash import plain_print, plain_roots
+from test_near_copies import plain_kept
 
 SF = "/root/testdata/sf0.001"
 
@@ -30,16 +29,15 @@ def test_stages(spark):
     scores = quality.with_quality(docs, model, "q").select("doc_id", "q.score").collect()
     assert good == {r["doc_id"] for r in scores if r["score"] >= quality.THRESHOLD}
 
-    prints = np.array([plain_print(r["text"]) for r in rows[1]], np.uint64)
-    pairs = [(i, int(j)) for i in range(len(prints)) for j in np.flatnonzero(np.bitwise_count(prints[i] ^ prints) <= 3)]
-    assert rows[2] == [rows[1][i] for i in sorted(set(plain_roots(len(prints), pairs)))]
+    single = plain_kept([(r["doc_id"], r["text"]) for r in rows[1]])
+    assert rows[2] == [r for r in rows[1] if r["doc_id"] in single] and len(single) < len(rows[1])
 
     items = spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()
     leaking = {d for d, _ in plain_matches([(r["doc_id"], r["text"]) for r in rows[2]], items)}
     assert rows[3] == [r for r in rows[2] if r["doc_id"] not in leaking] and leaking
 
     assert rows[4] == rows[3]
-    placed = mixing.mixed(outputs[3], SOURCE_WEIGHTS, REST_WEIGHT).orderBy("position").collect()
+    placed = mixing.mixed(outputs[3], *mixing.every_source(outputs[3], SOURCE_WEIGHTS, REST_WEIGHT)).orderBy("position").collect()
     library, start = Tokenizer.from_file(word_tokenizer()), 0
     by_start = sorted(rows[5], key=lambda r: r["start"])
     assert [r["doc_id"] for r in by_start] == [r["doc_id"] for r in placed]
