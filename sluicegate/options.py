@@ -11,7 +11,11 @@ from .operators.typing import FAIL, QUARANTINE
 
 @dataclass(frozen=True)
 class IngestOptions:
-    """``root`` holds control data, rejects and the staged generation; all executors must reach it."""
+    """``root`` holds control data, rejects and the staged generation; all executors must reach it.
+
+    ``publish_views`` gives each table a SQL view of what is committed. ``owner`` is the job's own name, the same
+    after a restart; with it a job refuses a root that a job of another name works on.
+    """
 
     root: str
     flush_interval_secs: int = 600
@@ -24,6 +28,8 @@ class IngestOptions:
     max_files_per_trigger: int | None = None
     max_bytes_per_trigger: str | None = None
     parallel_tables: int = 4
+    publish_views: bool = False
+    owner: str | None = None
 
     def __post_init__(self) -> None:
         if self.on_bad_row not in (QUARANTINE, FAIL):

@@ -6,17 +6,24 @@ statistics skip other tables' pages in them, so the work over all tables is abou
 executor costs a re-read of staged files rather than of the source. A generation has a staged folder of its
 own, which goes once the ledger row is written.
 
-Steps: stage, store registrations, count per table, write tables, write rejects, write the ledger. The
-ledger row is what makes a table's generation visible; a failed table raises after the others are done.
+Steps: stage, store registrations and warnings, write tables, count them in one job, write rejects, write the
+ledger. One more table is one more write. The ledger row is what makes a table's generation visible; a failed
+table raises after the others are done.
+
+Control rows of closed generations are put together every ``EVERY`` generations (``sinks/control.py``), so a
+flush lists and merges as much in its ten-thousandth generation as in its twentieth. A generation up to the last
+round is closed: running it again reports it and changes nothing.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
 from threading import BoundedSemaphore
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.decode import BAD_REGISTRATION, FLUSH, RECORD, REGISTER, decode, unknown_table
@@ -26,14 +33,17 @@ from ..operators.registry import (
     merged,
     registrations,
     registry,
+    resolved_fields,
     table_schema,
 )
-from ..operators.typing import split_rows
+from ..operators.typing import rejected_rows
 from ..options import IngestOptions
-from ..schemas import CREATED, LEDGER, REGISTRY_PARTS, REJECTS, STAGED, STORED_REJECTS
+from ..schemas import LEDGER, PLACES, REGISTRY_PARTS, REJECTS, STAGED, STORED_REJECTS, WARNINGS
 from ..session import local_rows
-from ..sinks.control import ControlTable, overwrite, read_or_empty, remove
-from ..sinks.targets import NameTaken, Target, layout, path_part
+from ..sinks import control
+from ..sinks.control import BEFORE_ALL, ControlTable, numbered_folders, overwrite, read_or_empty, remove
+from ..sinks.targets import FolderTarget, NameTaken, Target, layout, path_part
+from ..sinks.views import publish, ready_for_views
 
 REGISTRATION_CLASS = "registration"
 RECORD_CLASS = "record"
@@ -43,6 +53,10 @@ REJECT_CLASS = "reject"
 BUCKETS = 256
 
 
+class StaleGeneration(ValueError):
+    """A new generation with a number among those that are closed; readers would see it before it is whole."""
+
+
 class FlushFailed(RuntimeError):
     """Some tables of a generation were not committed; a replay does those and skips the rest."""
 
@@ -53,6 +67,8 @@ class FlushReport:
     rows: dict[str, int] = field(default_factory=dict)
     rejected: int = 0
     already_committed: tuple[str, ...] = ()
+    # What the staging job observed on its way, for reporting only: a repeated task counts again.
+    observed: dict[str, int] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -63,6 +79,20 @@ class _Work:
     has_early: bool
     known: dict[str, str]
     owner: str
+    folded: str
+    staged: int
+
+
+def _newest_layouts(places: DataFrame) -> DataFrame:
+    """Each place of each table once, by the generation that made it."""
+    first = places.groupBy("table", "folded", "place").agg(F.min("gen").alias("gen"), F.min_by("layout", "gen").alias("layout"))
+    return first.select(*PLACES.names)
+
+
+def _rows_per_table(ledger: DataFrame) -> DataFrame:
+    """Committed rows of each table over closed generations."""
+    whole = ledger.groupBy("table").agg(F.max("gen").alias("gen"), F.sum("rows").alias("rows"), F.bool_and("committed").alias("committed"))
+    return whole.select(*LEDGER.names)
 
 
 class Store:
@@ -70,9 +100,11 @@ class Store:
 
     def __init__(self, root: str):
         self.root = root.rstrip("/")
-        self.registry_parts = ControlTable(f"{self.root}/control/registry", REGISTRY_PARTS)
-        self.created = ControlTable(f"{self.root}/control/created", CREATED)
-        self.ledger = ControlTable(f"{self.root}/control/ledger", LEDGER)
+        merged_parts = lambda parts: merged(parts).withColumn("gen", F.lit(None).cast("bigint")).select(*REGISTRY_PARTS.names)
+        self.registry_parts = ControlTable(f"{self.root}/control/registry", REGISTRY_PARTS, merged_parts)
+        self.places = ControlTable(f"{self.root}/control/places", PLACES, _newest_layouts)
+        self.ledger = ControlTable(f"{self.root}/control/ledger", LEDGER, _rows_per_table)
+        self.warnings = ControlTable(f"{self.root}/control/warnings", WARNINGS, lambda rows: rows)
         self.rejects = f"{self.root}/rejects"
 
     def staged(self, gen: int) -> str:
@@ -80,19 +112,43 @@ class Store:
 
     def registry(self, spark: SparkSession, gen: int | None = None) -> DataFrame:
         """The registry as of ``gen``, or as of now. Later registrations never change a replay."""
-        parts = self.registry_parts.read(spark)
-        if gen is not None:
-            parts = parts.where(F.col("gen") <= gen)
-        return merged(parts)
+        return self.registry_parts.as_of(spark, gen).drop("gen")
 
     def rejected(self, spark: SparkSession) -> DataFrame:
         return read_or_empty(spark, self.rejects, STORED_REJECTS).drop("part")
 
-
-def stage(frames: DataFrame, store: Store, options: IngestOptions, gen: int) -> None:
-    """Decode the frames once and write them by class and table bucket."""
+    def closed_upto(self, spark: SparkSession) -> int | None:
+        """All generations up to this one are closed, and what tables hold of them is committed."""
+        return self.ledger.merged_upto(spark)
+
+    def put_together(self, spark: SparkSession, gen: int) -> bool:
+        """Put control rows up to ``gen`` together if it is time and every generation up to it is closed."""
+        closed = self.closed_upto(spark)
+        recent = [g for g in self.ledger.recent_gens(spark) if (BEFORE_ALL if closed is None else closed) < g <= gen]
+        if len(recent) < control.EVERY or any(g <= gen for g in numbered_folders(spark, f"{self.root}/staged")):
+            return False
+        rows = self.ledger._read_recent(spark, recent)
+        if not rows.where("table IS NOT NULL AND NOT committed").isEmpty():
+            return False
+        # The ledger goes last, because its round is what says that a generation is closed.
+        for control_table in (self.registry_parts, self.places, self.ledger):
+            control_table.put_together(spark, gen)
+        return True
+
+
+def stage(frames: DataFrame, store: Store, options: IngestOptions, gen: int) -> dict[str, int]:
+    """Decode the frames once and write them by class and table bucket; what was observed meanwhile."""
     decoded = decode(frames, options.enable_manual_flush, options.max_frame_bytes)
     kind, msg = F.col("kind"), F.col("msg")
+    observation = Observation()
+    decoded = decoded.observe(
+        observation,
+        F.count(F.lit(1)).alias("frames"),
+        F.count_if(msg.isNull() & (kind == RECORD)).alias("records"),
+        F.count_if(msg.isNull() & (kind == REGISTER)).alias("registrations"),
+        F.count_if(msg.isNotNull()).alias("refused"),
+        F.coalesce(F.sum(F.octet_length("frame")), F.lit(0)).alias("bytes"),
+    )
     split = (
         F.when(msg.isNotNull(), REJECT_CLASS)
         .when(kind == RECORD, RECORD_CLASS)
@@ -116,6 +172,11 @@ def stage(frames: DataFrame, store: Store, options: IngestOptions, gen: int) ->
     # repartition, splits a bucket that is too large for one task.
     grouped = staged.hint("rebalance", F.col("class"), F.col("bucket")).sortWithinPartitions("class", "bucket", "table")
     overwrite(grouped, store.staged(gen), "class", "bucket")
+    try:
+        return dict(observation.get)
+    except Py4JJavaError:
+        # Where Spark proves before it runs that there are no rows, there is nothing to observe either.
+        return {}
 
 
 def _staged(spark: SparkSession, store: Store, gen: int, of_class: str, bucket: int | None = None) -> DataFrame:
@@ -125,17 +186,26 @@ def _staged(spark: SparkSession, store: Store, gen: int, of_class: str, bucket:
 
 
 def _store_registrations(spark: SparkSession, store: Store, gen: int) -> None:
-    """Keep this generation's part of the registry: one row per table, however often it registered."""
+    """Keep this generation's part of the registry, one row per table, and a warning for each type it does not know."""
     parsed = registrations(_staged(spark, store, gen, REGISTRATION_CLASS))
-    if not parsed.isEmpty():
-        store.registry_parts.replace(registry(parsed), gen)
+    if parsed.isEmpty():
+        return
+    store.registry_parts.replace(registry(parsed), gen)
+    unknown = resolved_fields(store.registry_parts.read_one(spark, gen)).where("unknown_type")
+    if not unknown.isEmpty():
+        store.warnings.replace(unknown, gen)
 
 
-def _owners(named: DataFrame) -> DataFrame:
-    """The table that has a name first, for names that a catalog folds to one; replays see the same."""
-    folded = F.lower(F.to_json(F.struct("namespace", "table")))
-    first = F.min_by("table", F.struct("first_seq", "table")).alias("owner")
-    return named.withColumn("folded", folded).join(named.groupBy(folded.alias("folded")).agg(first), "folded").drop("folded")
+def _owned(named: DataFrame, places: DataFrame) -> DataFrame:
+    """``named`` with the ``owner`` of its name, for names that a catalog folds to one.
+
+    The table that was written there first keeps the place, whatever registers later. Where nothing was written yet
+    it is the one that was registered first; replays see the same.
+    """
+    owners = places.groupBy("folded").agg(F.min_by("table", F.struct("gen", "table")).alias("kept"))
+    first = named.groupBy("folded").agg(F.min_by("table", F.struct("first_seq", "table")).alias("first"))
+    found = named.join(first, "folded").join(owners, "folded", "left")
+    return found.withColumn("owner", F.coalesce("kept", "first")).drop("kept", "first")
 
 
 def _work(spark: SparkSession, store: Store, target: Target, gen: int, by_order: bool) -> DataFrame:
@@ -143,31 +213,29 @@ def _work(spark: SparkSession, store: Store, target: Target, gen: int, by_order:
     counted = (
         _staged(spark, store, gen, RECORD_CLASS)
         .groupBy("table", "bucket")
-        .agg(F.min("seq").alias("min_seq"), F.bool_or(F.col("seq").isNull()).alias("unordered"))
-    )
-    layouts = (
-        store.created.read(spark)
-        .where(F.col("gen") < gen)
-        .groupBy("table")
-        .agg(F.map_from_entries(F.collect_set(F.struct("place", "layout"))).alias("known"))
+        .agg(F.min("seq").alias("min_seq"), F.bool_or(F.col("seq").isNull()).alias("unordered"), F.count(F.lit(1)).alias("staged"))
     )
-    known = store.registry(spark, gen)
-    owned = _owners(known) if target.folds_case(spark) else known.withColumn("owner", F.col("table"))
+    # The same places for a replay, which may have recorded its own before it failed.
+    places = store.places.as_of(spark, gen - 1)
+    layouts = places.groupBy("table").agg(F.map_from_entries(F.collect_set(F.struct("place", "layout"))).alias("known"))
+    known = store.registry(spark, gen).withColumn("folded", F.lower(F.to_json(F.struct("namespace", "table"))))
+    owned = _owned(known, places) if target.folds_case(spark) else known.withColumn("owner", F.col("table"))
     named = owned.join(layouts, "table", "left")
     registered = F.col("fields").isNotNull()
     # A record without seq has no order to be admitted by.
     early = F.col("unordered") | F.coalesce(F.col("min_seq") <= F.col("first_seq"), F.lit(True)) if by_order else F.lit(False)
-    kept = ("first_seq", "has_early", "namespace", "fields", "known", "owner")
+    kept = ("first_seq", "has_early", "namespace", "fields", "known", "owner", "folded")
     return (
         counted.join(named, "table", "left")
         .select(
             F.when(registered, F.col("table")).alias("table"),
             "bucket",
+            "staged",
             F.when(registered, early).alias("has_early"),
             *[c for c in kept if c != "has_early"],
         )
         .groupBy("table")
-        .agg(F.collect_set("bucket").alias("buckets"), *[F.any_value(c).alias(c) for c in kept])
+        .agg(F.collect_set("bucket").alias("buckets"), F.sum("staged").alias("staged"), *[F.any_value(c).alias(c) for c in kept])
     )
 
 
@@ -178,35 +246,18 @@ def _records(spark: SparkSession, store: Store, gen: int, work: _Work, by_order:
     return rows
 
 
-def _write_rejects(rows: DataFrame, store: Store, gen: int, part: str) -> int:
-    folder = f"{store.rejects}/gen={gen}/part={part}"
-    overwrite(rows.select(*REJECTS.names), folder)
-    return rows.sparkSession.read.schema(REJECTS).parquet(folder).count()
+def _write_rejects(rows: DataFrame, store: Store, gen: int, part: str) -> None:
+    overwrite(rows.select(*REJECTS.names), f"{store.rejects}/gen={gen}/part={part}")
 
 
-def _flush_table(
-    spark: SparkSession,
-    store: Store,
-    target: Target,
-    options: IngestOptions,
-    gen: int,
-    work: _Work,
-) -> tuple[int, int, bool]:
-    """Write one table's generation and its rejects: rows stored, rows set aside, whether it is new."""
+def _flush_table(spark: SparkSession, store: Store, target: Target, options: IngestOptions, gen: int, work: _Work) -> bool:
+    """Write one table's generation, in one job; whether its place is new."""
     if work.owner != work.schema.table:
         raise NameTaken(f"table '{work.schema.table}' has the place of table '{work.owner}'")
-    created = target.ensure(spark, work.schema, work.known)
+    is_new = target.ensure(spark, work.schema, work.known)
     records = _records(spark, store, gen, work, options.admit_by_order)
-    split = split_rows(records, work.schema, options.on_bad_row, options.ordered_files)
-    target.replace_generation(split, work.schema, gen)
-    rejected = target.rejected(spark, work.schema, gen)
-    set_aside = 0
-    if not rejected.isEmpty():
-        set_aside = _write_rejects(rejected, store, gen, f"t-{path_part(work.schema.table)}")
-    # Counted from what was written, which stays true after task retries, when accumulators may not.
-    stored = target.count(spark, work.schema, gen)
-    target.finish(spark, work.schema, gen)
-    return stored, set_aside, created
+    target.replace_generation(target.prepared(records, work.schema, options.on_bad_row, options.ordered_files), work.schema, gen)
+    return is_new
 
 
 def _frame_rejects(spark: SparkSession, store: Store, gen: int) -> DataFrame:
@@ -236,9 +287,51 @@ def _unadmitted(spark: SparkSession, store: Store, gen: int, by_order: bool, buc
 
 
 def _work_item(row) -> _Work:
-    return _Work(
-        table_schema(row), row["buckets"][0], row["first_seq"], row["has_early"], dict(row["known"] or {}), row["owner"]
-    )
+    known = dict(row["known"] or {})
+    return _Work(table_schema(row), row["buckets"][0], row["first_seq"], row["has_early"], known, row["owner"], row["folded"], row["staged"])
+
+
+def _in_parallel(options: IngestOptions, items, work: Callable) -> list[tuple]:
+    """``(item, result, error)`` for each of ``items``, which are drawn a few at a time; no item waits for a slower one."""
+    waiting = BoundedSemaphore(options.parallel_tables * 8)
+    running: list[tuple[object, Future]] = []
+    with ThreadPoolExecutor(options.parallel_tables) as pool:
+        for item in items:
+            waiting.acquire()
+            future = pool.submit(work, item)
+            future.add_done_callback(lambda _: waiting.release())
+            running.append((item, future))
+    # One table's failure must not stop the others.
+    return [(item, None if future.exception() else future.result(), future.exception()) for item, future in running]
+
+
+def _table_rejects(
+    spark: SparkSession, store: Store, target: Target, options: IngestOptions, gen: int, written: Sequence[_Work], set_aside: dict[str, int], done: Sequence[TableSchema]
+) -> list[TableSchema]:
+    """Store what the tables set aside; the tables that keep a half to remove when the generation is closed."""
+    if isinstance(target, FolderTarget):
+        kept = [w.schema for w in written if set_aside[w.schema.table]] + [s for s in done if target.has_rejects(spark, s, gen)]
+        if kept:
+            _write_rejects(target.rejected(spark, kept, gen), store, gen, "tables")
+        return kept
+
+    def again(work: _Work) -> None:
+        records = _records(spark, store, gen, work, options.admit_by_order)
+        _write_rejects(rejected_rows(records, work.schema), store, gen, f"t-{path_part(work.schema.table)}")
+
+    for _, _, error in _in_parallel(options, [w for w in written if set_aside[w.schema.table]], again):
+        if error:
+            raise error
+    return []
+
+
+def _report_closed(frames: DataFrame, spark: SparkSession, store: Store, gen: int) -> FlushReport:
+    """The report of a generation that was closed long ago."""
+    rows = {r["table"]: r["rows"] for r in store.ledger.read_one(spark, gen).toLocalIterator() if r["committed"]}
+    if not rows and not decode(frames).where(F.col("kind") == RECORD).isEmpty():
+        raise StaleGeneration(f"generation {gen} holds records, but all generations up to {store.closed_upto(spark)} are closed")
+    rejected = store.rejected(spark).where(F.col("gen") == gen).count()
+    return FlushReport(gen, rows, rejected, tuple(sorted(rows)))
 
 
 def flush_generation(frames: DataFrame, gen: int, target: Target, options: IngestOptions) -> FlushReport:
@@ -246,55 +339,68 @@ def flush_generation(frames: DataFrame, gen: int, target: Target, options: Inges
     spark = frames.sparkSession
     store = Store(options.root)
     by_order = options.admit_by_order
-    stage(frames, store, options, gen)
+    closed = store.closed_upto(spark)
+    if closed is not None and gen <= closed:
+        return _report_closed(frames, spark, store, gen)
+    observed = stage(frames, store, options, gen)
     _store_registrations(spark, store, gen)
 
     before = store.ledger.read_one(spark, gen).where("committed").select("table", "rows")
     done = {row["table"]: row["rows"] for row in before.toLocalIterator()}
-    report = FlushReport(gen, already_committed=tuple(sorted(done)))
+    report = FlushReport(gen, already_committed=tuple(sorted(done)), observed=observed)
     report.rows.update(done)
-    created, failures, late_buckets = [], [], set()
-    # The driver holds the work of a few tables at a time, and no table waits for a slower one.
-    waiting = BoundedSemaphore(options.parallel_tables * 8)
-    running: list[tuple[TableSchema, Future]] = []
-    with ThreadPoolExecutor(options.parallel_tables) as pool:
+    late_buckets, done_schemas = set(), []
+
+    def to_do():
         for row in _work(spark, store, target, gen, by_order).toLocalIterator():
             if row["table"] is None or row["has_early"]:
                 late_buckets.update(row["buckets"])
-            if row["table"] is None or row["table"] in done:
-                continue
-            waiting.acquire()
-            work = _work_item(row)
-            future = pool.submit(_flush_table, spark, store, target, options, gen, work)
-            future.add_done_callback(lambda _: waiting.release())
-            running.append((work.schema, future))
-    for schema, future in running:
-        # One table's failure must not stop the others.
-        if error := future.exception():
-            failures.append((schema.table, error))
-            continue
-        stored, set_aside, is_new = future.result()
-        report.rows[schema.table] = stored
-        report.rejected += set_aside
-        if is_new:
-            created.append((schema, target.place(schema)))
+            if row["table"] in done:
+                done_schemas.append(table_schema(row))
+            elif row["table"] is not None:
+                yield _work_item(row)
 
+    results = _in_parallel(options, to_do(), lambda work: _flush_table(spark, store, target, options, gen, work))
+    failures = [(work.schema.table, error) for work, _, error in results if error]
+    written = [work for work, _, error in results if not error]
+    new = [(gen, w.schema.table, w.folded, target.place(w.schema), layout(w.schema.struct_type())) for w, is_new, error in results if is_new and not error]
+
+    # Counted from what was written, which stays true after task retries, when accumulators may not.
+    counts = target.counts(spark, [w.schema for w in written], gen) if written else {}
+    report.rows.update((w.schema.table, counts[w.schema.table][0]) for w in written)
+    # Late records are staged too, so a table with some is read again even where nothing else is missing.
+    set_aside = {w.schema.table: w.staged - counts[w.schema.table][0] for w in written}
+    if isinstance(target, FolderTarget):
+        set_aside = {t: n for t, (_, n) in counts.items()}
+    if options.publish_views:
+        # A view needs files to be planned over; it shows nothing before the ledger row is there.
+        ready_for_views(spark, store.ledger)
+        unpublished = _in_parallel(options, [w.schema for w in written if counts[w.schema.table][0]], lambda schema: publish(spark, target, schema, store.ledger))
+        refused_views = {schema.table: error for schema, _, error in unpublished if error}
+        failures += refused_views.items()
+        report.rows = {t: n for t, n in report.rows.items() if t not in refused_views}
+    halves = _table_rejects(spark, store, target, options, gen, written, set_aside, done_schemas)
     refused = _frame_rejects(spark, store, gen)
     if late_buckets:
         refused = refused.unionByName(_unadmitted(spark, store, gen, by_order, late_buckets))
-    if late_buckets or not refused.isEmpty():
-        report.rejected += _write_rejects(refused, store, gen, "frames")
-    _close(spark, store, gen, report, created, failures)
+    any_refused = bool(late_buckets) or not refused.isEmpty()
+    if any_refused:
+        _write_rejects(refused, store, gen, "frames")
+    if any_refused or any(set_aside.values()) or done:
+        report.rejected = read_or_empty(spark, f"{store.rejects}/gen={gen}", REJECTS).count()
+    _close(spark, store, gen, report, new, failures)
+    for schema in halves:
+        target.finish(spark, schema, gen)
     remove(spark, store.staged(gen))
+    store.put_together(spark, gen)
     return report
 
 
-def _close(spark: SparkSession, store: Store, gen: int, report: FlushReport, created: list, failures: list) -> None:
-    if created:
-        new = [(gen, s.table, place, layout(s.struct_type())) for s, place in created]
-        earlier = store.created.read_one(spark, gen)
-        kept = [tuple(r) for r in earlier.toLocalIterator() if r["place"] not in {n[2] for n in new}]
-        store.created.replace(local_rows(spark, new + kept, CREATED), gen)
+def _close(spark: SparkSession, store: Store, gen: int, report: FlushReport, new: list[tuple], failures: list) -> None:
+    if new:
+        earlier = store.places.read_one(spark, gen)
+        kept = [tuple(r) for r in earlier.toLocalIterator() if r["place"] not in {n[3] for n in new}]
+        store.places.replace(local_rows(spark, new + kept, PLACES), gen)
     flags = [(gen, table, rows, True) for table, rows in report.rows.items()]
     flags += [(gen, table, None, False) for table, _ in failures]
     if flags:

@@ -6,12 +6,14 @@ id says what happens to that row, so that plain SQL over the original table give
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.binary import utf8_bytes
 from ..functions.names import namespace_path
@@ -41,8 +43,10 @@ from ..sinks.targets import (
     ensure_namespace,
     ensure_table,
 )
-from ..sources.frames import read_generation, stream_frames, write_frames
-from ..streaming.flush_loop import drain, final_flush, flush_now, start
+from ..sinks.views import publish, view_name
+from ..sources.frames import as_frames, read_generation, stream_frames, write_frames
+from ..streaming.flush_loop import FlushService, drain, final_flush, flush_now, start
+from ..streaming.pending import open_tables
 from .fixtures import (
     body_of,
     fields_of,
@@ -566,11 +570,14 @@ def final_flushed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _committed(spark, target, options, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+FILES_A_BATCH = 8
+
+
 def bounded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file a micro-batch: rows stored per generation, whatever the number of cores."""
+    """Micro-batches of at most so many files: rows stored per generation, whatever the number of cores."""
     root = working_folder(spark, "bounded")
     registration_frames(spark, _messages_of(spark, sf_dir, ["orders"])).coalesce(1).write.parquet(f"{root}/landed")
-    options, target = _options(f"{root}/job", max_files_per_trigger=1), FolderTarget(f"{root}/job")
+    options, target = _options(f"{root}/job", max_files_per_trigger=FILES_A_BATCH), FolderTarget(f"{root}/job")
 
     def take_in() -> None:
         flush_now(stream_frames(spark, f"{root}/landed", options.max_files_per_trigger), target, options)
@@ -578,7 +585,8 @@ def bounded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     take_in()
     for part in range(3):
         rows = load(spark, sf_dir, "orders").where(F.col("o_orderkey") % 3 == part)
-        record_frames(rows, "orders", "o_orderkey").coalesce(1).write.mode("append").parquet(f"{root}/landed")
+        # As many files as one batch takes, so that its work is spread.
+        record_frames(rows, "orders", "o_orderkey").repartition(FILES_A_BATCH).write.mode("append").parquet(f"{root}/landed")
         take_in()
     return Store(options.root).ledger.read(spark).select("gen", "table", "rows", "committed")
 
@@ -586,12 +594,12 @@ def bounded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def appended(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain append: typed rows go twice into a catalog table."""
     root = working_folder(spark, "appended")
-    schema = _schema("nation", fields_of(load(spark, sf_dir, "nation").schema))
+    schema = _schema("orders", fields_of(load(spark, sf_dir, "orders").schema))
     space = f"appended_{root.rsplit('-', 1)[1]}"
     ensure_namespace(spark, (space,), f"{root}/tables")
     name = quoted(space, schema.table)
     ensure_table(spark, name, schema)
-    typed = _decoded_table(spark, sf_dir, "nation", "n_nationkey").withColumn(GENERATION, F.lit(0).cast("bigint"))
+    typed = _decoded_table(spark, sf_dir, "orders", MIXED["orders"]).withColumn(GENERATION, F.lit(0).cast("bigint"))
     append(typed, name)
     append(typed, name)
     return spark.table(name).drop(GENERATION)
@@ -621,6 +629,192 @@ def two_generations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows[0].unionByName(rows[1].withColumn("key", F.col("key").cast(rows[0].schema["key"].dataType)))
 
 
+class BreaksAfterWriting(CatalogTarget):
+    """Writes the rows of one table's generation and then fails, as a job does that is cut off before its ledger row."""
+
+    MESSAGE = "cut off after the write"
+
+    def __init__(self, *args, table: str, gen: int, **kwargs):
+        super().__init__(*args, **kwargs)
+        self.table, self.gen = table, gen
+
+    def replace_generation(self, rows: DataFrame, schema: TableSchema, gen: int) -> None:
+        super().replace_generation(rows, schema, gen)
+        if (schema.table, gen) == (self.table, self.gen):
+            raise OSError(self.MESSAGE)
+
+
+def _own_namespace(root: str) -> tuple[str, str]:
+    """A namespace of the session catalog that no other run of a query uses."""
+    return ("raw", root.rsplit("-", 1)[1])
+
+
+def committed_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views read through SQL after a generation in which one of two tables was written and not committed."""
+    root = working_folder(spark, "views")
+    namespace, keys = _own_namespace(root), {"events": "event_id", "orders": "o_orderkey"}
+    options = _options(f"{root}/job", publish_views=True)
+    target = BreaksAfterWriting(f"{root}/job", location=f"{root}/warehouse", table="events", gen=1)
+    tables = {name: load(spark, sf_dir, name) for name in keys}
+    texts = [(BEFORE_ALL, registration_json(name, namespace, fields_of(t.schema))) for name, t in tables.items()]
+
+    def part(of_two: int) -> DataFrame:
+        events, orders = [record_frames(t.where(F.col(keys[name]) % 2 == of_two), name, keys[name]) for name, t in tables.items()]
+        return events.unionByName(orders)
+
+    flush_generation(registration_frames(spark, texts).unionByName(part(0)), 0, target, options)
+    try:
+        flush_generation(part(1), 1, target, options)
+    except FlushFailed as failed:
+        if target.MESSAGE not in str(failed.__cause__):
+            raise
+    else:
+        raise AssertionError("the second generation was to fail")
+    events, orders = [view_name(TableSchema(name, namespace, ())) for name in keys]
+    return spark.sql(f"SELECT 'events' AS `table`, event_id AS `key` FROM {events} UNION ALL SELECT 'orders', o_orderkey FROM {orders}")
+
+
+def folder_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view over a table of folders, read through SQL after two generations, the second flushed after it was made."""
+    root = working_folder(spark, "folder-view")
+    namespace, source = _own_namespace(root), load(spark, sf_dir, "events")
+    options, target = _options(f"{root}/job"), FolderTarget(f"{root}/job")
+    text = registration_json("events", namespace, fields_of(source.schema))
+    schema = TableSchema("events", namespace, tuple(fields_of(source.schema)))
+    halves = [record_frames(source.where(F.col("event_id") % 2 == part), "events", "event_id") for part in (0, 1)]
+    flush_generation(registration_frames(spark, [(BEFORE_ALL, text)]).unionByName(halves[0]), 0, target, options)
+    name = publish(spark, target, schema, Store(options.root).ledger, f"{root}/views")
+    flush_generation(halves[1], 1, target, options)
+    return spark.sql(f"SELECT * FROM {name}")
+
+
+def open_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream has still to do after a planned failure: open generations, their tables and staged records."""
+    root = working_folder(spark, "open")
+    names = ["events", "orders", "customer"]
+    _land(spark, sf_dir, names, f"{root}/landed")
+    options = _options(f"{root}/job")
+    target = BreaksAfterWriting(f"{root}/job", location=f"{root}/warehouse", table="orders", gen=0)
+    target.namespace = lambda schema: ("__".join(_own_namespace(root)),)
+    try:
+        drain(stream_frames(spark, f"{root}/landed"), target, options)
+    except StreamingQueryException as failed:
+        if target.MESSAGE not in str(failed):
+            raise
+    else:
+        raise AssertionError("the flush was to fail")
+    return open_tables(spark, options.root)
+
+
+def kept_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables whose names the catalog folds to one: the one written first keeps it, though the other has a lower ``seq``."""
+    root = working_folder(spark, "names")
+    source, namespace = load(spark, sf_dir, "orders"), _own_namespace(root)
+    options, target = _options(f"{root}/job"), CatalogTarget(f"{root}/job", location=f"{root}/warehouse")
+    for gen, (name, seq) in enumerate((("Orders", -1), ("orders", -2), ("Orders", None))):
+        frames = record_frames(source.where(F.col("o_orderkey") % 3 == gen), name, "o_orderkey")
+        if seq is not None:
+            frames = frames.unionByName(registration_frames(spark, [(seq, registration_json(name, namespace, fields_of(source.schema)))]))
+        try:
+            flush_generation(frames, gen, target, options)
+        except FlushFailed as failed:
+            if gen != 1 or "has the place of table 'Orders'" not in str(failed.__cause__):
+                raise
+    stored = spark.table(quoted("__".join(namespace), "orders")).groupBy(F.col(GENERATION).alias("gen")).agg(F.count(F.lit(1)).alias("stored"))
+    ledger = Store(options.root).ledger.read(spark)
+    return ledger.join(stored, "gen", "left").select("gen", "table", "committed", F.coalesce("stored", F.lit(0)).alias("stored"))
+
+
+def _first_batch(query: StreamingQuery, timeout_secs: int = 120) -> None:
+    """Wait until a query has finished its first batch."""
+    until = time.monotonic() + timeout_secs
+    while query.isActive and not query.recentProgress:
+        if time.monotonic() > until:
+            raise TimeoutError("the first batch was not finished")
+        time.sleep(0.1)
+
+
+def flushed_by_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that a flush frame takes in: nothing but the frame causes the flush, hours before the next periodic one."""
+    root = working_folder(spark, "asked")
+    source, landed = load(spark, sf_dir, "events"), f"{root}/landed"
+    registration_frames(spark, _messages_of(spark, sf_dir, ["events"])).coalesce(1).write.parquet(landed)
+    options = _options(f"{root}/job", flush_interval_secs=36_000, flush_jitter_secs=0)
+    target = FolderTarget(options.root)
+    service = FlushService(lambda: stream_frames(spark, landed), target, options)
+    service.start()
+    try:
+        _first_batch(service.periodic)
+        record_frames(source, "events", "event_id").write.mode("append").parquet(landed)
+        asks = source.agg((F.max("event_id") + 1).alias("seq"))
+        frames_from(asks, F.col("seq"), F.lit(None), frame_of(dec.FLUSH, utf8_bytes(F.lit("")))).write.mode("append").parquet(landed)
+        service.control.processAllAvailable()
+        if service.flushes < 1:
+            raise AssertionError("the flush frame was to cause a flush")
+        return _committed(spark, target, options, "events")
+    finally:
+        service.stop()
+
+
+def unknown_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a flush notes of field types that it does not know and stores as text."""
+    root = working_folder(spark, "warnings")
+    options = _options(f"{root}/job")
+    flush_generation(_supplier_registrations(spark, sf_dir), 0, FolderTarget(options.root), options)
+    return Store(options.root).warnings.read(spark)
+
+
+def empty_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three generations, the second of empty frames only, which writes nothing: the ledger of all."""
+    root = working_folder(spark, "empty")
+    source, events = load(spark, sf_dir, "orders"), load(spark, sf_dir, "events")
+    options, target = _options(f"{root}/job"), FolderTarget(f"{root}/job")
+    halves = [record_frames(source.where(F.col("o_orderkey") % 2 == part), "orders", "o_orderkey") for part in (0, 1)]
+    registered = registration_frames(spark, _messages_of(spark, sf_dir, ["orders"]))
+    empty = _events_frames(events, F.unhex(F.lit("")))
+    for gen, frames in enumerate((registered.unionByName(halves[0]), empty, halves[1])):
+        flush_generation(frames, gen, target, options)
+    return Store(options.root).ledger.read(spark)
+
+
+def streamed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of messages as a message bus gives them (``value``, ``offset``, ``timestamp``), flushed and read back."""
+    root = working_folder(spark, "messages")
+    landed = f"{root}/landed"
+    registered = registration_frames(spark, _messages_of(spark, sf_dir, ["events"]))
+    records = record_frames(load(spark, sf_dir, "events"), "events", "event_id", "ts")
+    named = [F.col("frame").alias("value"), F.col("seq").alias("offset"), F.col("arrival_ts").alias("timestamp"), F.lit("frames").alias("topic")]
+    registered.select(*named).coalesce(1).write.parquet(landed)
+    records.select(*named).write.mode("append").parquet(landed)
+    options, target = _options(f"{root}/job"), FolderTarget(f"{root}/job")
+    messages = spark.readStream.schema("value binary, offset bigint, timestamp timestamp, topic string").parquet(landed)
+    flush_now(as_frames(messages, F.col("value"), F.col("offset"), F.col("timestamp")), target, options)
+    return _committed(spark, target, options, "events")
+
+
+def observed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a flush observed while it staged its frames, beside what its files hold."""
+    root = working_folder(spark, "observed")
+    source = load(spark, sf_dir, "events")
+    key, payload = F.col("event_id"), payload_of(source)
+    cut = F.when(key % 7 == 0, F.substr(payload, F.lit(1), F.length(payload) - 1)).otherwise(payload)
+    frame = F.when(key % 11 == 0, frame_of("7F", utf8_bytes(F.lit("")))).otherwise(frame_of(dec.RECORD, body_of(F.lit("events"), cut)))
+    registered = registration_frames(spark, [_message("events", fields_of(source.schema))])
+    options, target = _options(f"{root}/job"), FolderTarget(f"{root}/job")
+    report = flush_generation(registered.unionByName(_events_frames(source, frame)), 0, target, options)
+    stored = _committed(spark, target, options, "events").agg(F.count(F.lit(1)).alias("n")).withColumn("what", F.lit("stored"))
+    set_aside = Store(options.root).rejected(spark).groupBy(F.when(F.col("table").isNull(), "refused").otherwise("set aside").alias("what")).agg(F.count(F.lit(1)).alias("n"))
+    held = stored.select("what", "n").unionByName(set_aside).groupBy().pivot("what", ["stored", "refused", "set aside"]).agg(F.sum("n"))
+    seen = {name: F.lit(report.observed[name]).cast("bigint") for name in ("records", "refused", "registrations")}
+    return held.select(
+        seen["records"].alias("observed_records"),
+        (F.col("stored") + F.col("set aside")).alias("counted_records"),
+        seen["refused"].alias("observed_refused"),
+        F.col("refused").alias("counted_refused"),
+        seen["registrations"].alias("observed_registrations"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_events_typed": events_typed,
     "q02_lineitem_typed": lineitem_typed,
@@ -657,4 +851,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q33_bounded_batches": bounded_batches,
     "q34_appended": appended,
     "q35_two_generations": two_generations,
+    "q36_committed_view": committed_view,
+    "q37_folder_view": folder_view,
+    "q38_open_after_failure": open_after_failure,
+    "q39_kept_names": kept_names,
+    "q40_flushed_by_frame": flushed_by_frame,
+    "q41_unknown_types": unknown_types,
+    "q42_empty_generation": empty_generation,
+    "q43_streamed_messages": streamed_messages,
+    "q44_observed_counts": observed_counts,
 }

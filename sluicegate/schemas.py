@@ -37,4 +37,6 @@ REJECTS = _struct(seq=_LONG, table=_TEXT, payload=_TEXT, frame=_BYTES, reason=_T
 STORED_REJECTS = T.StructType([*REJECTS.fields, *_struct(gen=_LONG, part=_TEXT).fields])
 
 LEDGER = _struct(gen=_LONG, table=_TEXT, rows=_LONG, committed=_FLAG)
-CREATED = _struct(gen=_LONG, table=_TEXT, place=_TEXT, layout=_TEXT)
+# A place is a folder or a catalog name; ``folded`` is the name as the catalog tells names apart.
+PLACES = _struct(gen=_LONG, table=_TEXT, folded=_TEXT, place=_TEXT, layout=_TEXT)
+WARNINGS = _struct(gen=_LONG, table=_TEXT, last_seq=_LONG, name=_TEXT, declared_type=_TEXT, resolved_type=_TEXT)

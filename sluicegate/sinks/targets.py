@@ -3,13 +3,15 @@
 Both keep a ``_gen`` partition per flushed generation. A write replaces exactly that partition, so a
 replayed generation overwrites itself and nothing else, also when it has no rows.
 
-A table's records are parsed once: one write separates good rows from set-aside rows by a ``_rejected``
-partition. A folder table is that written folder; a catalog table is filled from its good half.
+A folder table's records are parsed once: one write separates good rows from set-aside rows by a ``_rejected``
+partition, and the set-aside half goes when the generation is closed. A catalog table takes its good rows
+straight from the typed plan; only tables whose counts show that rows are missing are read again for rejects.
 """
 
 from __future__ import annotations
 
-from urllib.parse import quote
+from collections.abc import Sequence
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +20,9 @@ from pyspark.sql import types as T
 from ..functions.sql_text import literal, quoted
 from ..operators.lookup import lookup
 from ..operators.registry import TableSchema
-from ..operators.typing import REJECT, REJECTED
+from ..operators.typing import REJECT, REJECTED, split_rows, typed_rows
 from ..schemas import REJECTS
-from .control import overwrite, read_or_empty, remove
+from .control import exists, overwrite, read_or_empty, remove
 
 GENERATION = "_gen"
 
@@ -65,17 +67,7 @@ def _table_folder(schema: TableSchema) -> str:
     return ".".join(path_part(p) for p in (*schema.namespace, schema.table))
 
 
-def _write_split(split: DataFrame, folder: str) -> None:
-    overwrite(split, folder, REJECTED)
-
-
-def _good_half(spark: SparkSession, folder: str, schema: TableSchema) -> DataFrame:
-    return read_or_empty(spark, f"{folder}/{REJECTED}=false", schema.struct_type())
-
-
-def _rejected_half(spark: SparkSession, folder: str) -> DataFrame:
-    half = T.StructType([T.StructField(REJECT, REJECTS)])
-    return read_or_empty(spark, f"{folder}/{REJECTED}=true", half).select(f"{REJECT}.*")
+REJECT_HALF = T.StructType([T.StructField(REJECT, REJECTS)])
 
 
 class FolderTarget:
@@ -105,19 +97,38 @@ class FolderTarget:
         """Whether names that differ only in case are one place."""
         return False
 
-    def replace_generation(self, split: DataFrame, schema: TableSchema, gen: int) -> None:
-        _write_split(split, self._folder(schema, gen))
+    def prepared(self, records: DataFrame, schema: TableSchema, on_bad_row: str, ordered: bool) -> DataFrame:
+        """What ``replace_generation`` writes: good and set-aside rows together."""
+        return split_rows(records, schema, on_bad_row, ordered)
 
-    def finish(self, spark: SparkSession, schema: TableSchema, gen: int) -> None:
-        """Nothing is left over: the table is the written folder."""
+    def replace_generation(self, rows: DataFrame, schema: TableSchema, gen: int) -> None:
+        overwrite(rows, self._folder(schema, gen), REJECTED)
 
-    def rejected(self, spark: SparkSession, schema: TableSchema, gen: int) -> DataFrame:
-        """Records the last write set aside, read from their own files."""
-        return _rejected_half(spark, self._folder(schema, gen))
+    def counts(self, spark: SparkSession, schemas: Sequence[TableSchema], gen: int) -> dict[str, tuple[int, int]]:
+        """Rows stored and rows set aside of each table, in one job over the written files' footers."""
+        read = spark.read.schema(REJECT_HALF).option("recursiveFileLookup", "true")
+        path = F.col("_metadata.file_path")
+        part = F.regexp_extract(path, f"/tables/([^/]+)/{GENERATION}=[^/]+/{REJECTED}=(true|false)/", 1).alias("part")
+        good = path.contains(f"/{REJECTED}=false/")
+        written = read.parquet(*[self._folder(s, gen) for s in schemas])
+        rows = written.groupBy(part).agg(F.count_if(good).alias("stored"), F.count_if(~good).alias("set_aside"))
+        found = {unquote(r["part"]): (r["stored"], r["set_aside"]) for r in rows.toLocalIterator()}
+        return {s.table: found.get(_table_folder(s), (0, 0)) for s in schemas}
 
-    def count(self, spark: SparkSession, schema: TableSchema, gen: int) -> int:
-        """Rows stored for one generation, from the file footers."""
-        return _good_half(spark, self._folder(schema, gen), schema).count()
+    def _rejected_folder(self, schema: TableSchema, gen: int) -> str:
+        return f"{self._folder(schema, gen)}/{REJECTED}=true"
+
+    def has_rejects(self, spark: SparkSession, schema: TableSchema, gen: int) -> bool:
+        return exists(spark, self._rejected_folder(schema, gen))
+
+    def rejected(self, spark: SparkSession, schemas: Sequence[TableSchema], gen: int) -> DataFrame:
+        """Records that were set aside, of all the tables in one read. Each has to have some."""
+        read = spark.read.schema(REJECT_HALF).option("recursiveFileLookup", "true")
+        return read.parquet(*[self._rejected_folder(s, gen) for s in schemas]).select(f"{REJECT}.*")
+
+    def finish(self, spark: SparkSession, schema: TableSchema, gen: int) -> None:
+        """Remove the set-aside half of a closed generation; its rejects are stored by then."""
+        remove(spark, self._rejected_folder(schema, gen))
 
     def stored(self, spark: SparkSession, schema: TableSchema) -> DataFrame:
         """Every good row written, committed or not, with its ``_gen``."""
@@ -161,16 +172,18 @@ def append(rows: DataFrame, name: str) -> None:
     rows.sparkSession.sql(f"INSERT INTO {_template(name)} BY NAME SELECT * FROM {{rows}}", rows=rows)
 
 
+COUNTED_AT_ONCE = 64
+
+
 class CatalogTarget:
     """Catalog tables. ``catalog`` names a Spark catalog, or is none for the session catalog.
 
     The session catalog has one-part namespaces, so longer ones are joined with ``__`` there; a part that
-    contains ``__``, or begins or ends with ``_``, is refused. ``work`` is a shared folder for the separated
-    rows of the generation being flushed.
+    contains ``__``, or begins or ends with ``_``, is refused. ``root`` is the job's own folder.
     """
 
-    def __init__(self, work: str, catalog: str | None = None, provider: str = "parquet", location: str | None = None):
-        self.work = work.rstrip("/")
+    def __init__(self, root: str, catalog: str | None = None, provider: str = "parquet", location: str | None = None):
+        self.root = root.rstrip("/")
         self.catalog = catalog
         self.provider = provider
         self.location = location.rstrip("/") if location else None
@@ -189,34 +202,32 @@ class CatalogTarget:
     def folds_case(self, spark: SparkSession) -> bool:
         return spark.conf.get("spark.sql.caseSensitive") != "true"
 
-    def _folder(self, schema: TableSchema, gen: int) -> str:
-        return f"{self.work}/separated/{gen}/{_table_folder(schema)}"
-
     def ensure(self, spark: SparkSession, schema: TableSchema, known: dict[str, str]) -> bool:
+        """Create what is missing; true when this place was not written before."""
         check_target(schema)
         namespace = self.namespace(schema)
         folder = f"{self.location}/{path_part(namespace[-1])}" if self.location else None
         ensure_namespace(spark, namespace, folder)
         ensure_table(spark, self.place(schema), schema, self.provider)
-        return False
+        return self.place(schema) not in known
 
-    def replace_generation(self, split: DataFrame, schema: TableSchema, gen: int) -> None:
-        spark = split.sparkSession
-        _write_split(split, self._folder(schema, gen))
-        spark.sql(
-            f"INSERT OVERWRITE {_template(self.place(schema))} PARTITION ({GENERATION} = {gen:d}) SELECT * FROM {{rows}}",
-            rows=_good_half(spark, self._folder(schema, gen), schema),
-        )
-
-    def finish(self, spark: SparkSession, schema: TableSchema, gen: int) -> None:
-        """Remove the separated rows once the table and its rejects are written."""
-        remove(spark, self._folder(schema, gen))
+    def prepared(self, records: DataFrame, schema: TableSchema, on_bad_row: str, ordered: bool) -> DataFrame:
+        """What ``replace_generation`` writes: good rows only, in the declared columns."""
+        return typed_rows(records, schema, on_bad_row, ordered)
 
-    def rejected(self, spark: SparkSession, schema: TableSchema, gen: int) -> DataFrame:
-        return _rejected_half(spark, self._folder(schema, gen))
+    def replace_generation(self, rows: DataFrame, schema: TableSchema, gen: int) -> None:
+        rows.sparkSession.sql(
+            f"INSERT OVERWRITE {_template(self.place(schema))} PARTITION ({GENERATION} = {gen:d}) SELECT * FROM {{rows}}", rows=rows
+        )
 
-    def count(self, spark: SparkSession, schema: TableSchema, gen: int) -> int:
-        return self.stored(spark, schema).where(F.col(GENERATION) == gen).count()
+    def counts(self, spark: SparkSession, schemas: Sequence[TableSchema], gen: int) -> dict[str, tuple[int, int]]:
+        """Rows stored of each table, ``COUNTED_AT_ONCE`` tables a job; what was set aside is not stored here."""
+        found = {}
+        for start in range(0, len(schemas), COUNTED_AT_ONCE):
+            some = schemas[start : start + COUNTED_AT_ONCE]
+            each = [f"SELECT {i} AS i, count(*) AS n FROM {self.place(s)} WHERE {GENERATION} = {gen:d}" for i, s in enumerate(some)]
+            found |= {some[r["i"]].table: (r["n"], 0) for r in spark.sql(" UNION ALL ".join(each)).collect()}
+        return found
 
     def stored(self, spark: SparkSession, schema: TableSchema) -> DataFrame:
         return spark.table(self.place(schema))
