@@ -225,8 +225,10 @@ class CatalogTarget:
         found = {}
         for start in range(0, len(schemas), COUNTED_AT_ONCE):
             some = schemas[start : start + COUNTED_AT_ONCE]
-            each = [f"SELECT {i} AS i, count(*) AS n FROM {self.place(s)} WHERE {GENERATION} = {gen:d}" for i, s in enumerate(some)]
-            found |= {some[r["i"]].table: (r["n"], 0) for r in spark.sql(" UNION ALL ".join(each)).collect()}
+            # Counted above the union, so that all tables share one aggregation.
+            each = [f"SELECT {i} AS i FROM {self.place(s)} WHERE {GENERATION} = {gen:d}" for i, s in enumerate(some)]
+            counted = spark.sql(f"SELECT i, count(*) AS n FROM ({' UNION ALL '.join(each)}) GROUP BY i").collect()
+            found |= {s.table: (0, 0) for s in some} | {some[r["i"]].table: (r["n"], 0) for r in counted}
         return found
 
     def stored(self, spark: SparkSession, schema: TableSchema) -> DataFrame:
