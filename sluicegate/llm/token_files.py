@@ -6,9 +6,10 @@ token count and its ids. ORC packs the ids by integer run-length encoding in str
 by side; row indexes (an entry for each ``ROWS_PER_INDEX`` rows) and Bloom filters on ``doc_id`` let a
 lookup of a few documents skip the rest. Global starts need one number per file: its token total.
 
-A text is encoded by the tokenizer file's own rules. Pieces between blanks are independent of each other
-under those rules, so a piece is encoded once and then looked up; the store of pieces has a fixed size,
-which changes the time and not the result.
+A text is encoded by the tokenizer file's own rules. Under rules that drop white space and lower-case (those that
+``parts_at_blanks`` knows), pieces between blanks are independent of each other, so a piece is encoded once and
+then looked up; the stores have fixed sizes, which change the time and not the result. Under any other rules, and
+under a sentencepiece model, the library encodes whole texts.
 
 Nulls and empty texts give the end id alone. Rows that repeat a ``doc_id`` keep a row each, ordered by the
 hash of their text; null ids come first. An empty table gives files without rows. Columns beyond ``doc_id``
@@ -17,6 +18,7 @@ and ``text`` are not written, whatever their names.
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 import zlib
@@ -34,15 +36,56 @@ from ..session import working_folder
 END_ID = 2
 ROWS_PER_INDEX = 1000
 BLOOM_FALSE_POSITIVES = 0.01
-MAX_PIECES = 300_000
+MAX_PIECES = 400_000
 ROWS_PER_BATCH = 2000
 FILE_SCHEMA = "doc_id bigint, part int, before bigint, n_tokens bigint, ids array<int>"
-# A mark between a letter and a blank is a piece of its own under the tokenizer's rules.
+# The rules under which pieces between blanks are independent, and marks are parted from words.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+WORD_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+WORD_END = "</w>"
+# A mark between a letter and a blank is a piece of its own under these rules.
 TRAILING_MARK = re.compile(r"[,.](?<=[a-zà-öø-ÿ][,.])(?=[ \n])")
 
 
-class Encoder:
-    """``text -> ids`` as little-endian bytes, with a bounded store of encoded pieces.
+def parts_at_blanks(tokenizer_path: str) -> bool:
+    """Whether a tokenizer file has the rules by which ``PieceEncoder`` cuts texts."""
+    if not tokenizer_path.endswith(".json"):
+        return False
+    with open(tokenizer_path, encoding="utf-8") as file:
+        rules = json.load(file)
+    normalizer, parts = rules.get("normalizer") or {}, (rules.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    return (
+        normalizer.get("normalizers") == NORMALIZERS
+        and parts[0].get("pattern") == {"Regex": WORD_PATTERN}
+        and (parts[0].get("behavior"), parts[0].get("invert")) == ("Removed", True)
+        and rules["model"].get("end_of_word_suffix") == WORD_END
+        and all("<|" in token["content"] and " " not in token["content"] for token in rules.get("added_tokens", []))
+    )
+
+
+class WholeEncoder:
+    """``texts -> ids`` as little-endian bytes, by the library of the tokenizer's file."""
+
+    def __init__(self, tokenizer_path: str):
+        if tokenizer_path.endswith(".model"):
+            import sentencepiece
+
+            processor = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path)
+            self._ids = lambda texts: processor.encode(texts, num_threads=1)
+        else:
+            from tokenizers import Tokenizer
+
+            tokenizer = Tokenizer.from_file(tokenizer_path)
+            tokenizer.no_truncation()
+            tokenizer.no_padding()
+            self._ids = lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        return [np.array(ids, "<u4").tobytes() for ids in self._ids(texts)]
+
+
+class PieceEncoder:
+    """``texts -> ids`` as little-endian bytes, with a bounded store of the pieces between blanks.
 
     The store has two generations: a full one becomes the old one, and pieces move on when they come again.
     """
@@ -56,10 +99,7 @@ class Encoder:
         self.old: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.is_end[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-
-    def __call__(self, text: str) -> bytes:
-        return self.many([text])[0]
+        self.is_end[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
 
     def many(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; new pieces of all of them are encoded together."""
@@ -104,14 +144,18 @@ class Encoder:
             self.pieces[piece] = np.array(encoded.ids, "<u4").tobytes()
 
 
-def _encoder(tokenizer_path: str) -> Encoder:
+def encoder_of(tokenizer_path: str) -> PieceEncoder | WholeEncoder:
+    return PieceEncoder(tokenizer_path) if parts_at_blanks(tokenizer_path) else WholeEncoder(tokenizer_path)
+
+
+def _encoder(tokenizer_path: str) -> PieceEncoder | WholeEncoder:
     """One encoder per Python worker, kept from task to task.
 
     Task functions arrive by value and have globals of their own, so the encoder is kept in ``sys.modules``.
     """
     kept = sys.modules.setdefault("_kept_encoders", ModuleType("_kept_encoders")).__dict__
     if tokenizer_path not in kept:
-        kept[tokenizer_path] = Encoder(tokenizer_path)
+        kept[tokenizer_path] = encoder_of(tokenizer_path)
     return kept[tokenizer_path]
 
 
@@ -142,7 +186,7 @@ def _encoded(tokenizer_path: str, end_id: int) -> Callable[[Iterator[pa.RecordBa
     return encode
 
 
-def _slices(batch: pa.RecordBatch, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch of about ``max_bytes`` of text each, one row at least."""
     sizes = np.array(pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0), np.int64)
     group = (np.cumsum(sizes) - sizes) // max_bytes

@@ -1,8 +1,10 @@
 """Token files against the library, text by text."""
 
+import random
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
@@ -26,9 +28,38 @@ def library():
 
 @pytest.mark.parametrize("kept", [2, 1000])
 def test_encoder(library, kept):
-    encoder = token_files.Encoder(word_tokenizer(), kept)
-    for text in [*ODD, *ODD]:
-        assert np.frombuffer(encoder(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    encoder = token_files.PieceEncoder(word_tokenizer(), kept)
+    for texts in (ODD, ODD[::-1], [t.upper() for t in ODD], [f"{t} {t}" for t in ODD]):
+        ids = [np.frombuffer(found, "<u4").tolist() for found in encoder.many(texts)]
+        assert ids == [library.encode(text, add_special_tokens=False).ids for text in texts]
+
+
+@pytest.mark.parametrize("kept", [5, 2000])
+def test_random_texts(library, kept):
+    rng, encoder = random.Random(kept), token_files.PieceEncoder(word_tokenizer(), kept)
+    letters = " \n\t,.aBéÀßÿµª×÷İ1'sſK語\u0301\xa0\x85<|"
+    for _ in range(30):
+        texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 20))) for _ in range(100)]
+        ids = [np.frombuffer(found, "<u4").tolist() for found in encoder.many(texts)]
+        assert ids == [library.encode(text, add_special_tokens=False).ids for text in texts]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "piece_bpe_32k.model"])
+def test_other_rules_encode_whole_texts(spark, root, name):
+    path = public_tokenizers.path(name)
+    texts = ["Hello big world, again.", "  Two  blanks.\nÉ 語 ", "", *ODD]
+    encoder = token_files.encoder_of(path)
+    assert isinstance(encoder, token_files.WholeEncoder) and token_files.parts_at_blanks(word_tokenizer())
+    if name.endswith(".json"):
+        want = [Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids for t in texts]
+    else:
+        import sentencepiece
+
+        want = sentencepiece.SentencePieceProcessor(model_file=path).encode(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    token_files.write(docs, f"{root}/tokens", path)
+    found = {r["doc_id"]: r["ids"] for r in token_files.read(spark, f"{root}/tokens").collect()}
+    assert found == {i: [*ids, 2] for i, ids in enumerate(want)}
 
 
 def test_round_trip(spark, library, root):
