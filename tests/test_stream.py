@@ -8,17 +8,22 @@ from pyspark.sql import functions as F
 from sluicegate.options import IngestOptions
 from sluicegate.plans.fixtures import fields_of, record_frames, registration_frames, registration_json
 from sluicegate.plans.flush import Store
+from sluicegate.schemas import FRAMES
+from sluicegate.session import local_rows
 from sluicegate.operators.registry import table_schemas
 from sluicegate.sinks.targets import FolderTarget, committed_rows
 from sluicegate.sources.frames import stream_frames
+from sluicegate.sinks.owner import RootTaken
 from sluicegate.streaming.flush_loop import (
     FlushDisabled,
+    FlushService,
     drain,
     final_flush,
     flush_now,
     jittered_interval,
     start,
 )
+from sluicegate.streaming.pending import open_generations, open_tables
 
 
 def test_jitter():
@@ -121,3 +126,62 @@ def test_an_unfinished_drain_raises(spark, root, events):
     assert Store(options.root).ledger.read(spark).isEmpty()
     drain(stream_frames(spark, landed), FolderTarget(options.root), options)
     assert _stored(spark, FolderTarget(options.root), options, "a").count() == events.count()
+
+
+def _ask(spark, folder, seq):
+    local_rows(spark, [(seq, None, b"\x03")], FRAMES).coalesce(1).write.mode("append").parquet(folder)
+
+
+def _until(done, secs=60):
+    end = time.monotonic() + secs
+    while not done():
+        assert time.monotonic() < end
+        time.sleep(0.2)
+
+
+@pytest.mark.parametrize("enabled", [True, False])
+def test_a_flush_frame_wakes_the_flush_where_that_is_enabled(spark, root, events, enabled):
+    landed, asked = f"{root}/landed", f"{root}/asked"
+    _register(spark, ["a"], events).coalesce(1).write.parquet(landed)
+    _ask(spark, asked, 1)
+    options = IngestOptions(f"{root}/job", flush_interval_secs=36_000, flush_jitter_secs=0, enable_manual_flush=enabled)
+    target = FolderTarget(options.root)
+    service = FlushService(lambda: stream_frames(spark, landed), target, options, lambda: stream_frames(spark, asked))
+    service.start()
+    _until(lambda: service.flushes == int(enabled) and service.periodic.recentProgress)
+    assert (service.control is not None) == enabled
+    record_frames(events, "a", "event_id").coalesce(1).write.mode("append").parquet(landed)
+    if enabled:
+        _ask(spark, asked, 2)
+        _until(lambda: service.flushes == 2)
+        assert _stored(spark, target, options, "a").count() == events.count()
+    else:
+        assert Store(options.root).ledger.read(spark).isEmpty()
+    service.stop()
+    assert not service.periodic.isActive and _stored(spark, target, options, "a").count() == events.count()
+
+
+def test_open_tables_of_a_job(spark, root, events):
+    landed, names = f"{root}/landed", ["a", "b"]
+    options, target = IngestOptions(f"{root}/job", parallel_tables=1), Breaks(f"{root}/job", {1, 2}, False)
+    assert open_tables(spark, options.root).isEmpty() and open_generations(spark, options.root).isEmpty()
+    _register(spark, names, events).coalesce(1).write.parquet(landed)
+    for n, part in (("a", events), ("b", events.limit(3)), ("never", events.limit(2))):
+        record_frames(part, n, "event_id").coalesce(1).write.mode("append").parquet(landed)
+    with pytest.raises(StreamingQueryException):
+        drain(stream_frames(spark, landed), target, options)
+    found = sorted(map(tuple, open_tables(spark, options.root).collect()))
+    assert found == [(0, "a", events.count()), (0, "b", 3)]
+    drain(stream_frames(spark, landed), target, options)
+    assert open_tables(spark, options.root).isEmpty() and open_generations(spark, options.root).isEmpty()
+
+
+def test_a_second_job_is_refused(spark, root, events):
+    landed = f"{root}/landed"
+    _register(spark, ["a"], events).coalesce(1).write.parquet(landed)
+    mine, other = (IngestOptions(f"{root}/job", owner=name) for name in ("mine", "other"))
+    query = start(stream_frames(spark, landed), FolderTarget(mine.root), mine)
+    with pytest.raises(RootTaken):
+        drain(stream_frames(spark, landed), FolderTarget(other.root), other)
+    final_flush(query, stream_frames(spark, landed), FolderTarget(mine.root), mine)
+    drain(stream_frames(spark, landed), FolderTarget(other.root), other)
