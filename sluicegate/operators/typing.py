@@ -162,6 +162,11 @@ def unregistered_rows(looked_up: DataFrame) -> DataFrame:
     return dropped.select("seq", "table", "payload", "frame", F.lit(NO_SCHEMA).alias("reason"))
 
 
+# A payload that repeats a key has its last value, as typed columns have; others are looked up as they were parsed.
+_LAST_WINS = """
+CASE WHEN size(_m) = size(array_distinct(map_keys(_m))) THEN _m
+     ELSE map_from_entries(filter(reverse(map_entries(_m)),
+       (e, i) -> array_position(transform(reverse(map_entries(_m)), x -> x.key), e.key) = i + 1)) END"""
 # Lambda bodies see one declared field with its payload text as ``r``.
 _TYPE_FAILS = " ".join(
     f"WHEN {literal(t)} THEN ({cast_sql('r.text', t)}) IS NULL" for t in SPARK_TYPES if t != FALLBACK
@@ -169,7 +174,7 @@ _TYPE_FAILS = " ".join(
 _FIRST_REASON = f"""
 get(filter(transform(
   transform(fields, f -> named_struct('name', f.name, 'type', f.type, 'required', f.required,
-    'text', try_element_at(filter(map_entries(_m), e -> e.key = f.name), -1).value)),
+    'text', try_element_at(_m, f.name))),
   r -> CASE WHEN r.required AND r.text IS NULL THEN concat({literal("missing required field '")}, r.name, {literal("'")})
             WHEN r.text IS NOT NULL AND CASE r.type {_TYPE_FAILS} ELSE false END THEN concat({literal("bad value for '")}, r.name, {literal("'")}) END),
   reason -> reason IS NOT NULL), 0)"""
@@ -187,5 +192,6 @@ def with_reasons(admitted: DataFrame, registry_rows: DataFrame) -> DataFrame:
     found = with_schema(admitted, registry_rows.select("table", "namespace", fields.alias("fields")))
     parsed = F.from_json("payload", "map<string, string>", PARSE_OPTIONS)
     rows = found.select(*admitted.columns, "fields", F.when(F.col("fields").isNotNull(), parsed).alias("_m"))
+    rows = rows.withColumn("_m", F.expr(_LAST_WINS))
     reason = f"CASE WHEN fields IS NULL THEN NULL WHEN _m IS NULL THEN {UNPARSED} ELSE {_FIRST_REASON} END AS reason"
     return rows.selectExpr(*[quoted(c) for c in admitted.columns], "fields IS NOT NULL AS registered", reason)

@@ -122,3 +122,13 @@ def test_odd_field_names(spark):
     assert ty.split_rows(rows, schema, ordered=True).collect()[0][:6] == (1, 2, 3, "four", None, 5)
     wrong = rows.withColumn("payload", F.lit('{"a.b":1,"c`d":2,"_broken":3,"seq":"four"}'))
     assert ty.rejected_rows(wrong, schema).first().reason == "missing required field 'q's\\'"
+
+
+def test_repeated_keys_have_their_last_value_in_both_ways(spark):
+    payloads = ['{"x":1,"x":"no"}', '{"x":"no","x":2}', '{"s":"a","x":1,"s":"b","x":null}', '{"x":3,"s":"c"}']
+    rows = [(i, "t", p, None, None) for i, p in enumerate(payloads)]
+    records = spark.createDataFrame(rows, "seq long, table string, payload string, frame binary, msg string")
+    known = spark.createDataFrame([("t", ["n"], [("x", "long", True), ("s", "string", False)])], "table string, namespace array<string>, fields array<struct<name: string, type: string, required: boolean>>")
+    schema = TableSchema("t", ("n",), (Field("x", "long"), Field("s", "string", False)))
+    summary = {r["seq"]: r["reason"] for r in ty.with_reasons(records, known).collect() if r["reason"]}
+    assert summary == {r["seq"]: r["reason"] for r in ty.rejected_rows(records, schema).collect()} and set(summary) == {0, 2}
