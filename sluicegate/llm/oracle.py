@@ -87,15 +87,18 @@ def _secret_scan() -> str:
 
 def _line_chunks() -> str:
     c = line_chunks
-    rolled = " + ".join(["h", *[f"coalesce(lag(h, {j}) OVER o, 0) * {c.FACTOR**j}" for j in range(1, c.WINDOW)]])
     return f"""
-    WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
-    hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT % {c.MODULUS} AS h FROM lines),
-    ends AS (SELECT *, (({rolled}) % {c.DIVISOR} = 0)::INT AS ends FROM hashed WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
-    numbered AS (SELECT *, sum(ends) OVER (PARTITION BY doc_id ORDER BY i) - ends AS chunk FROM ends),
-    chunks AS (SELECT doc_id, chunk, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body FROM numbered GROUP BY 1, 2),
-    marked AS (SELECT *, n >= {c.MIN_LINES} AND row_number() OVER (PARTITION BY body ORDER BY doc_id, chunk) > 1 AS gone FROM chunks),
-    texts AS (SELECT doc_id, sum(n)::BIGINT AS n_lines, coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed,
+    WITH split AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
+    lines AS (SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS next, ('0x' || substr(md5(line), 1, 15))::BIGINT % {c.MODULUS} AS h FROM split),
+    counted AS (SELECT *, count(*) OVER (PARTITION BY line) AS n, CASE WHEN next IS NOT NULL THEN count(*) OVER (PARTITION BY line, next) END AS n_next FROM lines),
+    looked AS (SELECT *, lag(n) OVER o AS last_n, lag(n_next) OVER o AS together, lag(h) OVER o AS last_h FROM counted WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+    cuts AS (SELECT *, (coalesce(together, 1) = 1)::INT AS begins,
+                    (coalesce(together, 1) = 1 OR together < greatest(last_n, n) OR (h + last_h * {c.FACTOR}) % {c.DIVISOR} = 0)::INT AS cut FROM looked),
+    numbered AS (SELECT *, sum(begins) OVER o AS passage, sum(cut) OVER o AS chunk FROM cuts WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+    sized AS (SELECT *, sum(len(regexp_extract_all(line, '{c.WORD}'))) OVER (PARTITION BY doc_id, passage) AS words FROM numbered),
+    chunks AS (SELECT doc_id, chunk, any_value(words) >= {c.MIN_WORDS} AS long, count(*) AS lines, string_agg(line, chr(10) ORDER BY i) AS body FROM sized GROUP BY 1, 2),
+    marked AS (SELECT *, long AND row_number() OVER (PARTITION BY body, long ORDER BY doc_id, chunk) > 1 AS gone FROM chunks),
+    texts AS (SELECT doc_id, sum(lines)::BIGINT AS n_lines, coalesce(sum(lines) FILTER (gone), 0)::BIGINT AS n_removed,
                      coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (NOT gone), '') AS text
               FROM marked GROUP BY 1)
     SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, length(t.text) AS n_chars, md5(t.text) AS md5
