@@ -134,10 +134,11 @@ def _removed(texts: DataFrame, spans: DataFrame) -> DataFrame:
 def dedup(docs: DataFrame, names: tuple[str, str] = ("n_lines", "n_removed"), divisor: int = DIVISOR, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with repeated chunks taken out of ``text``, and the lines it had and lost."""
     names = free_names(docs, *names)
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("mark"), "text")
-    texts = rows.select(*TEXT, "text")
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("mark"))
+    texts = rows.select(*TEXT, F.col("doc.text").alias("text"))
     removed = _removed(texts, _spans(_counted(_hashed(texts)), divisor, min_words))
-    marked = _lines(rows.join(_named(removed, "gone"), _same_text("gone"), "left"))
+    # The text travels once, inside ``doc``.
+    marked = _lines(rows.join(_named(removed, "gone"), _same_text("gone"), "left").withColumn("text", F.col("doc.text")))
     # What stands between two chunks that go, and before and after them.
     starts = F.concat(F.array(F.lit(0)), F.transform("gone", lambda s: s["end"]))
     ends = F.concat(F.transform("gone", lambda s: s["start"]), F.array(F.size("lines")))
