@@ -17,7 +17,8 @@ everywhere, and there is a cut at each of its ends.
 Hashes are counted with partial aggregation. The few that are so frequent that they could make a task large (more
 than one in ``HOT_PARTS``, so at most ``HOT_PARTS`` of them) are looked up by broadcast, the rest by a join. A
 copy is removed only if its bytes equal those of the first place; a chunk that merely shares a hash stays. First
-places are found by hash and place and written, so that Spark can split a frequent hash in the last join.
+places are found by hash and place and written, so that Spark can split a frequent hash in the last join. All
+other joins are sort merge joins at every size, so that a small table shows what a large one needs.
 
 A null text stays null and has no lines; an empty text has one empty line. Rows that repeat both ``doc_id``
 and text count as one text and get the same result. Null ids come first. Other columns pass unchanged; where the
@@ -79,7 +80,7 @@ def _counted(hashed: DataFrame) -> DataFrame:
     rest = repeated.where(F.col("n") * HOT_PARTS <= total).select(F.col("hash").alias("rest"), F.col("n").alias("n_rest"))
     met = (F.col("key") == F.col("rest")) & F.col("hot").isNull()
     n = F.coalesce("n_hot", "n_rest")
-    found = first.withColumn("key", spread).join(rest, met, "left").where(n.isNotNull())
+    found = first.withColumn("key", spread).join(rest.hint("merge"), met, "left").where(n.isNotNull())
     slim = found.select(*TEXT, "line", "pair", "hash", "words", n.alias("n"))
     mine, pair = ~F.col("pair"), F.col("pair")
     return (
@@ -118,16 +119,16 @@ def _same_text(prefix: str) -> Column:
 
 def _removed(texts: DataFrame, spans: DataFrame) -> DataFrame:
     """Per text the chunks that stand at an earlier place with the same bytes."""
-    with_spans = _lines(texts.join(_named(spans, "span"), _same_text("span"))).select(*TEXT, "lines", F.explode("spans").alias("span"))
+    with_spans = _lines(texts.join(_named(spans, "span").hint("merge"), _same_text("span"))).select(*TEXT, "lines", F.explode("spans").alias("span"))
     text = F.array_join(F.slice("lines", F.col("span.start") + 1, F.col("span.end") - F.col("span.start")), "\n")
     chunks = keep(with_spans.select(*TEXT, "span", text.alias("chunk")).withColumn("hash", F.xxhash64("chunk")), "chunks")
     place = F.struct(*TEXT, "span")
     firsts = chunks.groupBy("hash").agg(F.min(place).alias("first"))
     at_first = (F.col("hash") == F.col("first_hash")) & _same_text("first") & (F.col("span") == F.col("first_span"))
     named = firsts.select(F.col("hash").alias("first_hash"), *[F.col(f"first.{c}").alias(f"first_{c}") for c in (*TEXT, "span")])
-    found = chunks.join(named, at_first).select("hash", "chunk", place.alias("first"))
+    found = chunks.join(named.hint("merge"), at_first).select("hash", "chunk", place.alias("first"))
     originals = keep(found.dropDuplicates(["hash"]).withColumnRenamed("chunk", "original"), "originals")
-    copies = chunks.join(originals, "hash").where((F.col("chunk") == F.col("original")) & ~place.eqNullSafe(F.col("first")))
+    copies = chunks.join(originals.hint("merge"), "hash").where((F.col("chunk") == F.col("original")) & ~place.eqNullSafe(F.col("first")))
     return copies.groupBy(*TEXT).agg(F.sort_array(F.collect_set("span")).alias("gone"))
 
 
@@ -138,7 +139,7 @@ def dedup(docs: DataFrame, names: tuple[str, str] = ("n_lines", "n_removed"), di
     texts = rows.select(*TEXT, F.col("doc.text").alias("text"))
     removed = _removed(texts, _spans(_counted(_hashed(texts)), divisor, min_words))
     # The text travels once, inside ``doc``.
-    marked = _lines(rows.join(_named(removed, "gone"), _same_text("gone"), "left").withColumn("text", F.col("doc.text")))
+    marked = _lines(rows.join(_named(removed, "gone").hint("merge"), _same_text("gone"), "left").withColumn("text", F.col("doc.text")))
     # What stands between two chunks that go, and before and after them.
     starts = F.concat(F.array(F.lit(0)), F.transform("gone", lambda s: s["end"]))
     ends = F.concat(F.transform("gone", lambda s: s["start"]), F.array(F.size("lines")))
