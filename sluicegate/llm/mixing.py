@@ -6,25 +6,28 @@ first among the released blocks meets all deadlines, so after any t slots a sour
 or take less than one.
 
 Weights are whole shares of a period, so the schedule repeats: only one period is ever worked out, and a
-block's slot follows from its number by a lookup and a multiplication. When a source runs out, the others go
-on with their weights scaled up: a new phase. There are at most as many phases as sources with a weight, and
-tables of one row per slot of each phase's period are all that is broadcast (``QUANTUM`` rows a phase).
+block's slot follows from its number by a lookup and a multiplication. The slots of a source that has run out
+stay empty, so the others go on in the same proportions, each within one block of its weight times the number of
+slots passed, empty ones included. Nothing starts anew when a source runs out; with many sources that end together
+a new start for each would hand the first slots of all of them to the source with the largest weight.
+
+What reaches the driver is one row per source; the period is ``QUANTUM`` slots or ``SLOTS_EACH`` for each source. It
+is broadcast up to ``BROADCAST_SLOTS`` and joined by source and place in the period beyond.
 
 Blocks need the rank of a document within its source. Documents are range-partitioned by source and id and
 written once; a rank is the row's place in its file plus the counts of earlier files, so a source with a
 third of all rows is many tasks. No document is dropped or repeated.
 
 A null source, or one without a weight, belongs to the rest, which has a weight of its own; ``every_source``
-gives each source found a weight, so that only null and empty ones are left there. A period has ``QUANTUM`` slots,
-so with some hundreds of sources and more their shares are rounded to whole slots, one at least. Null ids come
+gives each source found a weight, so that only null and empty ones are left there. A period has ``QUANTUM`` slots
+or ``SLOTS_EACH`` for each source, whichever is more; shares are rounded to whole slots. A source whose share is
+below one slot gets one, at the cost of the others' shares, which shrink by at most one in ``SLOTS_EACH``. Null ids come
 first; rows that repeat an id are ordered by the hash of their text. An empty table gives an empty mix.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Mapping
-from dataclasses import dataclass, field
 from heapq import heappop, heappush
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,6 +37,8 @@ from .kept import free_names, keep
 
 BLOCK_ROWS = 16
 QUANTUM = 1000
+SLOTS_EACH = 100
+BROADCAST_SLOTS = 1_000_000
 REST = ""
 
 
@@ -44,10 +49,14 @@ def shares(weights: Mapping[str, float], rest: float, quantum: int = QUANTUM) ->
     if min(given.values()) < 0 or total <= 0:
         raise ValueError("weights must not be negative, and some must be positive")
     exact = {s: quantum * w / total for s, w in given.items() if w > 0}
-    whole = {s: max(1, int(x)) for s, x in exact.items()}
-    for s in sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s)):
-        if sum(whole.values()) < quantum:
-            whole[s] += 1
+    small = {s for s, x in exact.items() if x < 1}
+    left, wanted = quantum - len(small), sum(x for s, x in exact.items() if s not in small)
+    exact = {s: 1.0 if s in small else max(1.0, x * left / wanted) for s, x in exact.items()}
+    # A share within rounding of a whole one is that one.
+    whole = {s: int(x + 1e-9) for s, x in exact.items()}
+    spare = quantum - sum(whole.values())
+    for s in sorted(exact, key=lambda s: (whole[s] - exact[s], s))[: max(spare, 0)]:
+        whole[s] += 1
     return whole
 
 
@@ -88,55 +97,31 @@ def period(active: Mapping[str, int]) -> list[str]:
     return slots
 
 
-@dataclass
-class Phase:
-    start: int
-    length: int
-    first_block: dict[str, int]
-    last_block: dict[str, int] = field(default_factory=dict)
-    offsets: dict[str, list[int]] = field(default_factory=dict)
-
-    def slot(self, source: str, block: int) -> int:
-        turn, i = divmod(block - self.first_block[source], len(self.offsets[source]))
-        return self.start + turn * self.length + self.offsets[source][i]
-
-    def blocks_before(self, source: str, slot: int) -> int:
-        turn, rest = divmod(slot - self.start, self.length)
-        return self.first_block[source] + turn * len(self.offsets[source]) + bisect_left(self.offsets[source], rest)
-
-
-def phases(blocks: Mapping[str, int], weights: Mapping[str, int]) -> list[Phase]:
-    """Phases of the mix of ``blocks[s]`` blocks per source; ``last_block`` is exclusive."""
-    placed, start, found = dict.fromkeys(weights, 0), 0, []
-    while active := {s: a for s, a in weights.items() if placed[s] < blocks.get(s, 0)}:
-        phase = Phase(start, sum(active.values()), {s: placed[s] for s in active})
-        for slot, source in enumerate(period(active)):
-            phase.offsets.setdefault(source, []).append(slot)
-        end = min(phase.slot(s, blocks[s] - 1) for s in active) + 1
-        for s in active:
-            placed[s] = phase.last_block[s] = phase.blocks_before(s, end)
-        found.append(phase)
-        start = end
-    return found
-
-
 def _group(source: Column, weights: Mapping[str, float]) -> Column:
     return F.when(source.isin(list(weights)), source).otherwise(F.lit(REST)) if weights else F.lit(REST)
 
 
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= BROADCAST_SLOTS else df
+
+
 def mixed(
     docs: DataFrame,
     weights: Mapping[str, float],
     rest: float,
     names: tuple[str, str, str] = ("block", "slot", "position"),
     block_rows: int = BLOCK_ROWS,
-    quantum: int = QUANTUM,
+    quantum: int | None = None,
 ) -> DataFrame:
     """``docs`` with the block within its source, the slot of that block and the position of the row in the mix.
 
+    A column of ``docs`` that has one of ``names`` keeps it; the new one gets underscores in front.
+
     Positions order the mix; a source's last block may hold fewer rows, and its remaining positions stay empty.
     """
     spark = docs.sparkSession
+    names = free_names(docs, *names)
+    quantum = quantum or max(QUANTUM, SLOTS_EACH * (len(weights) + 1))
     text = F.xxhash64("text") if "text" in docs.columns else F.lit(0)
     # The row travels as one column, so that no name of it meets those used here.
     ordered = (
@@ -152,35 +137,21 @@ def mixed(
     missing = sorted(set(totals) - set(shared))
     if missing:
         raise ValueError(f"sources with rows need a positive weight: {missing}")
-    blocks = {g: -(-n // block_rows) for g, n in totals.items()}
-    plan = phases(blocks, shared)
-    # One row per file and source in it, then one per phase and source, then one per slot of a period.
+    offsets: dict[str, list[int]] = {}
+    for slot, g in enumerate(period(shared)):
+        offsets.setdefault(g, []).append(slot)
+    # One row per file and source in it; one per slot of the period that a block can come to.
     earlier = Window.partitionBy("g").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("g", "p", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("shift"))
-    spans = [
-        (number, s, p.first_block[s], p.last_block[s], p.start, p.length, len(p.offsets[s]))
-        for number, p in enumerate(plan)
-        for s in p.first_block
-    ]
-    places = [(number, s, i, o) for number, p in enumerate(plan) for s, os in p.offsets.items() for i, o in enumerate(os)]
-    span_table = spark.createDataFrame(
-        spans, "phase int, g string, first_block long, last_block long, start long, length long, share long"
-    )
-    place_table = spark.createDataFrame(places, "phase int, g string, i long, offset long")
-    ranked = staged.join(F.broadcast(offsets), ["g", "p"]).select("doc", "g", (F.col("row") + F.col("shift")).alias("rank"))
-    ranked = ranked.withColumn("block", F.floor(F.col("rank") / block_rows))
-    in_phase = (
-        (ranked["g"] == span_table["g"])
-        & (ranked["block"] >= span_table["first_block"])
-        & (ranked["block"] < span_table["last_block"])
-    )
-    since = F.col("block") - F.col("first_block")
+    shifts = counts.select("g", "p", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("shift"))
+    places = [(g, i, o) for g, n in totals.items() for i, o in enumerate(offsets[g][: -(-n // block_rows)])]
+    place_table = spark.createDataFrame(places, "g string, i long, offset long")
+    share_table = spark.createDataFrame([(g, len(offsets[g])) for g in totals], "g string, share long")
+    ranked = staged.join(F.broadcast(shifts), ["g", "p"]).select("doc", "g", (F.col("row") + F.col("shift")).alias("rank"))
+    shared_rows = ranked.withColumn("block", F.floor(F.col("rank") / block_rows)).join(_small(share_table, len(totals)), "g")
     slotted = (
-        ranked.join(F.broadcast(span_table), in_phase)
-        .drop(span_table["g"])
-        .withColumn("i", since % F.col("share"))
-        .join(F.broadcast(place_table), ["phase", "g", "i"])
-        .withColumn("slot", F.col("start") + F.floor(since / F.col("share")) * F.col("length") + F.col("offset"))
+        shared_rows.withColumn("i", F.col("block") % F.col("share"))
+        .join(_small(place_table, len(places)), ["g", "i"])
+        .withColumn("slot", F.floor(F.col("block") / F.col("share")) * sum(shared.values()) + F.col("offset"))
     )
     position = F.col("slot") * block_rows + F.col("rank") % block_rows
     made = zip((F.col("block"), F.col("slot"), position), names)

@@ -35,3 +35,31 @@ def test_hot_source_is_spread(spark):
     slots = sorted({(r["slot"], r["source"]) for r in placed})
     # less than one block in each of two phases
     assert all(abs(sum(s == "hot" for _, s in slots[:t]) - t / 3) < 2 for t in range(1, len(slots) + 1))
+
+
+def test_named_weights_hold_with_many_sources(spark):
+    rows = [(i, "src0" if i < 2000 else f"other{i % 2000}") for i in range(8000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    weights, rest = mixing.every_source(docs, {"src0": 0.25}, 0.75)
+    assert len(weights) == 2001
+    placed = mixing.mixed(docs, weights, rest, block_rows=1).collect()
+    order = [r["source"] for r in sorted(placed, key=lambda r: r["position"])]
+    assert len(placed) == len({r["slot"] for r in placed}) == 8000
+    had = 0
+    for t, s in enumerate(order, 1):
+        had += s == "src0"
+        assert abs(had - 0.25 * t) < 1
+
+
+def test_shares_of_many():
+    shared = mixing.shares({"a": 0.25, **{f"s{i}": 0.75 / 5000 for i in range(5000)}}, 0.0, 500_100)
+    assert sum(shared.values()) == 500_100 and shared["a"] == 125_025
+    shared = mixing.shares({"a": 0.25, "b": 0.75, **{f"s{i}": 1e-9 for i in range(100)}}, 0.0, 10_300)
+    assert sum(shared.values()) == 10_300 and abs(shared["a"] / 10_300 - 0.25) < 0.25 / 100
+
+
+def test_names_in_the_way(spark):
+    docs = spark.createDataFrame([(1, "a", 7), (2, "b", 8)], "doc_id long, source string, slot int")
+    placed = mixing.mixed(docs, {"a": 0.5, "b": 0.5}, 0.0)
+    assert placed.columns == ["doc_id", "source", "slot", "block", "_slot", "position"]
+    assert sorted((r["doc_id"], r["slot"], r["_slot"]) for r in placed.collect()) == [(1, 7, 0), (2, 8, 1)]
