@@ -1,4 +1,8 @@
-"""Near copies by Jaccard similarity of word shingles: rare shingles for candidates, whole sets to verify.
+"""Near copies by Jaccard similarity of word shingles: SimHash, then rare shingles for the rest, whole sets to verify.
+
+The first candidates come from SimHash (``simhash.py``): fingerprints of five-word shingles, its index over positional
+bytes, its count filter and its 3 bits. Those whose whole sets are similar make the first forest. A similarity of 0.8
+reaches beyond 3 bits, so an index of rare shingles then finds every pair that the fingerprints leave out.
 
 A text is the set of its shingles of ``SHINGLE`` words. All sets are ordered alike, rare shingles first. For a
 similarity of ``MIN_NUM / MIN_DEN`` = 0.8 or more, the smaller of two sets shares one of its first ninth with the
@@ -30,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sinks.control import remove
+from . import simhash
 from .components import components
 from .kept import free_names, keep
 
@@ -199,14 +204,43 @@ def _forget(*tables: DataFrame | None) -> None:
                 remove(table.sparkSession, folder)
 
 
-def roots(posted: DataFrame, staged: DataFrame) -> DataFrame:
-    """``rid`` and ``root`` of the texts with a near copy; ``posted`` as of ``postings``, ``staged``: rid, text."""
+def by_fingerprint(nodes: DataFrame) -> DataFrame:
+    """Candidates (u, v) of texts (``rid``, ``fp``): fingerprints linked by SimHash, and one link for each repeat of one."""
+    firsts = keep(nodes.groupBy("fp").agg(F.min("rid").alias("first")), "prints")
+    repeats = nodes.join(firsts, "fp").where("rid <> first").select(F.col("first").alias("u"), F.col("rid").alias("v"))
+    near = simhash.links(firsts.select("fp")).withColumnsRenamed({"u": "fp", "v": "other_fp"})
+    other = firsts.select(F.col("fp").alias("other_fp"), F.col("first").alias("other"))
+    between = near.join(firsts, "fp").join(other, "other_fp").select(F.least("first", "other").alias("u"), F.greatest("first", "other").alias("v"))
+    candidates = keep(repeats.unionByName(between), "candidates")
+    _forget(firsts)
+    return candidates
+
+
+def roots(posted: DataFrame, staged: DataFrame, candidates: DataFrame) -> DataFrame:
+    """``rid`` and ``root`` of the texts with a near copy.
+
+    ``posted``: as of ``postings``. ``staged``: rid, text. ``candidates``: pairs (u, v) to try first, kept; removed here.
+    """
     # Written, so that the join reads both sides from shuffles of its own and Spark can split a list.
     shared = keep(posted.groupBy("value").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("value"), "shared")
     members = keep(posted.join(shared, "value"), "members")
     _forget(posted, shared)
+    # Similar texts share a posted shingle, so candidates without a set here are not similar.
     sets = keep(_sets(staged.join(members.select("rid").distinct(), "rid")), "sets")
-    rooted, linked, tried = members.withColumn("root", F.col("rid")), None, None
+
+    def grown(pairs: DataFrame, linked: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        """The forest with the similar ones of ``pairs``, and ``members`` with its roots."""
+        links = keep(_verified(pairs, sets), "similar")
+        # The forest so far stands for all links before.
+        forest = links if linked is None else links.unionByName(linked.select(F.col("node").alias("u"), F.col("root").alias("v")))
+        found = keep(components(forest), "roots")
+        rooted = members.join(found, members["rid"] == found["node"], "left").select(*members.columns, F.coalesce("root", "rid").alias("root"))
+        rooted = keep(rooted, "rooted")
+        _forget(links, linked)
+        return found, rooted
+
+    tried = candidates
+    linked, rooted = grown(candidates, None)
     other = [F.col(c).alias(name) for c, name in (("rid", "other"), ("size", "other_size"), ("pos", "other_pos"), ("root", "other_root"))]
     for turn in range(LEADER_ROUNDS + 1):
         lead = F.min(F.struct(F.xxhash64("rid", F.lit(turn)).alias("h"), "rid", "size", "pos", "root")).alias("lead")
@@ -221,18 +255,13 @@ def roots(posted: DataFrame, staged: DataFrame) -> DataFrame:
             left = keep(rooted.join(mixed.select("value"), "value"), "left")
             met = left.join(left.select("value", *other), "value").where(f"root < other_root AND {MEETS}")
         pairs = met.select(F.least("rid", "other").alias("u"), F.greatest("rid", "other").alias("v")).distinct()
-        pairs = keep(pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"), "pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = keep(_verified(pairs, sets), "similar")
-        # The forest so far stands for all links before.
-        forest = links if linked is None else links.unionByName(linked.select(F.col("node").alias("u"), F.col("root").alias("v")))
-        found = keep(components(forest), "roots")
-        _forget(links, linked, mixed, rooted if turn else None)
-        linked = found
-        rooted = members.join(linked, members["rid"] == linked["node"], "left").select(*members.columns, F.coalesce("root", "rid").alias("root"))
-        rooted = keep(rooted, "rooted")
+        pairs = keep(pairs.join(tried, ["u", "v"], "left_anti"), "pairs")
+        tried = tried.unionByName(pairs)
+        before = rooted
+        linked, rooted = grown(pairs, linked)
+        _forget(mixed, before)
     result = keep(rooted.where("root <> rid").select("rid", "root").distinct(), "found")
-    _forget(sets, members, tried, linked, rooted if tried is not None else None)
+    _forget(sets, members, tried, linked, rooted)
     return result
 
 
@@ -241,14 +270,16 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     A component without any ``doc_id`` keeps one row too.
     """
-    made, rid = free_names(docs, "made", "rid")
-    staged = keep(_signed(docs, made).withColumn(rid, F.monotonically_increasing_id()), "signed")
-    thin = staged.select(F.col(made).alias("key"), F.struct(F.col("doc_id").isNull(), "doc_id", F.col(rid).alias("rid")).alias("rank"))
-    nodes = keep(thin.groupBy("key").agg(F.min("rank").alias("rank")).select("rank", F.col("rank.rid").alias("rid")), "nodes")
+    made, fp, rid = free_names(docs, "made", "fp", "rid")
+    printed = simhash.with_fingerprint(_signed(docs, made), fp, SHINGLE)
+    staged = keep(printed.withColumn(rid, F.monotonically_increasing_id()), "signed")
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", F.col(rid).alias("rid"), F.col(fp).alias("fp")).alias("rank")
+    thin = staged.select(F.col(made).alias("key"), rank)
+    nodes = keep(thin.groupBy("key").agg(F.min("rank").alias("rank")).select("rank", "rank.rid", "rank.fp"), "nodes")
     texts = staged.select(F.col(rid).alias("rid"), "text")
     levels = rarity(texts)
     posted = keep(postings(texts.join(nodes.select("rid"), "rid"), levels), "posted")
-    found = roots(posted, texts)
+    found = roots(posted, texts, by_fingerprint(nodes))
     firsts = nodes.join(found, "rid", "left").groupBy(F.coalesce("root", "rid").alias("root")).agg(F.min("rank").alias("rank"))
     kept = keep(firsts.select(F.col("rank.rid").alias(rid)), "kept")
     return staged.join(kept, rid, "left_semi").select(*docs.columns)

@@ -65,10 +65,10 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(ones * 2 > total).tobytes(), "big")
 
 
-def with_fingerprint(docs: DataFrame, name: str) -> DataFrame:
+def with_fingerprint(docs: DataFrame, name: str, size: int = SHINGLE) -> DataFrame:
     @F.arrow_udf("long")
     def fingerprints(texts: pa.Array) -> pa.Array:
-        return pa.array(np.array([fingerprint(t.as_py()) for t in texts], np.uint64).view(np.int64))
+        return pa.array(np.array([fingerprint(t.as_py(), size) for t in texts], np.uint64).view(np.int64))
 
     return docs.withColumn(name, fingerprints(F.col("text").cast("string")))
 

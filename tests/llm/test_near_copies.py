@@ -2,7 +2,7 @@
 
 from itertools import combinations
 
-from sluicegate.llm import near_copies
+from sluicegate.llm import near_copies, simhash
 import corpus_pipeline
 from test_simhash import LOWER, WORDS, plain_roots
 
@@ -82,3 +82,23 @@ def test_any_order_of_shingles_finds_the_same(spark, monkeypatch):
     want = stage_kept(spark, docs)
     monkeypatch.setattr(near_copies, "rarity", lambda texts: np.zeros(64, np.uint8))
     assert stage_kept(spark, docs) == want
+
+
+def test_fingerprints_are_linked_first(spark, monkeypatch):
+    # texts of 400 words and copies with another last word, most within 3 bits; the index of rare shingles does the rest
+    texts = [" ".join([f"b{b}w{i}" for i in range(400)] + [f"own{k}"] * (k > 0)) for b in range(12) for k in range(4)]
+    prints = [simhash.fingerprint(t, near_copies.SHINGLE) for t in texts]
+    near = {(i, j) for i, j in combinations(range(len(texts)), 2) if (prints[i] ^ prints[j]).bit_count() <= simhash.MAX_BITS}
+    assert near and all(i // 4 == j // 4 for i, j in near)
+    tried, verified = [], near_copies._verified
+
+    def spy(pairs, sets):
+        tried.append(sorted((r["u"], r["v"]) for r in pairs.collect()))
+        return verified(pairs, sets)
+
+    monkeypatch.setattr(near_copies, "_verified", spy)
+    rows = list(enumerate(texts))
+    # One partition, so that row numbers are the ids.
+    kept = stage_kept(spark, spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    assert plain_roots(len(rows), tried[0]) == plain_roots(len(rows), near) and set(tried[0]) <= near
+    assert kept == sorted(plain_kept(rows)) == list(range(0, len(rows), 4))
