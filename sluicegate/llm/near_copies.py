@@ -17,7 +17,10 @@ broadcast as one byte a counter. Any table gives the same result, as all sets ar
 Texts with equal sets (by 128 bits) enter once. A group of near copies shares its rare shingles, so its pairs
 are not all made: in ``LEADER_ROUNDS`` rounds every member of a list is compared with one member, and what is linked to
 it needs no further comparison. Only members of a list that are then still in different components are compared
-pair by pair. Components are the same as those of all pairs. Each round starts from the forest of the one before, and
+pair by pair, first by the parity of ``PARITY_BITS`` groups of their shingles: two sets differ in at least as many
+shingles as groups whose parity differs, and similar ones in at most a ninth of both sizes. So what differs by more is no
+pair at all, and none that is similar is lost (sets of several thousand shingles differ in half of all groups, which
+excludes nothing). Components are the same as those of all pairs. Each round starts from the forest of the one before, and
 tables that are no longer read are removed.
 
 Nulls and texts without words have the empty set and are near copies of each other. A text of fewer words than
@@ -46,6 +49,9 @@ WORDS_AT_ONCE = 1 << 17
 COUNTERS = 1 << 22
 COUNTERS_A_CHUNK = 4096
 ROWS_AT_ONCE = 1 << 16
+SETS_AT_ONCE = 1 << 10
+PARITY_BITS = 1024
+PARITY = [f"parity{i}" for i in range(PARITY_BITS // 64)]
 POSTED = "value long, rid long, size int, pos int"
 
 
@@ -87,12 +93,25 @@ def _signed(docs: DataFrame, name: str) -> DataFrame:
     return docs.withColumn(name, sign(F.col("text").cast("string")))
 
 
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """For each of ``PARITY_BITS`` groups of hashes whether it holds an odd number of ``hashes``, as 64-bit words."""
+    odd = np.bincount((hashes >> np.uint64(32)).astype(np.int64) % PARITY_BITS, minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def _sets(texts: DataFrame) -> DataFrame:
-    @F.arrow_udf("binary")
-    def sets(texts: pa.Array) -> pa.Array:
-        return pa.array([shingle_set(t.as_py()).tobytes() for t in texts], pa.binary())
+    """``rid``, ``set`` and the words of its parity for each text."""
 
-    return texts.select("rid", sets(F.col("text").cast("string")).alias("set"))
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in (batch.slice(i, SETS_AT_ONCE) for i in range(0, batch.num_rows, SETS_AT_ONCE)):
+                found = [shingle_set(t.as_py()) for t in some.column("text")]
+                words = np.array([parity(s) for s in found], np.int64).T
+                columns = [some.column("rid"), pa.array([s.tobytes() for s in found], pa.binary()), *map(pa.array, words)]
+                yield pa.RecordBatch.from_arrays(columns, names=["rid", "set", *PARITY])
+
+    kinds = ", ".join(f"{p} long" for p in PARITY)
+    return texts.select("rid", F.col("text").cast("string").alias("text")).mapInArrow(made, f"rid long, set binary, {kinds}")
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,6 +202,9 @@ MEETS = """
     AND CASE WHEN (size, rid) < (other_size, other) THEN pos <= size - (8 * size + 8) div 9
              ELSE other_pos <= other_size - (8 * other_size + 8) div 9 END"""
 
+# Whether the parities of two sets leave 0.8 possible.
+ALIKE = f"{' + '.join(f'bit_count({p} ^ other_{p})' for p in PARITY)} <= (size + other_size) div 9"
+
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (u, v) whose sets are similar."""
@@ -252,8 +274,9 @@ def roots(posted: DataFrame, staged: DataFrame, candidates: DataFrame) -> DataFr
         if turn < LEADER_ROUNDS:
             met = rooted.join(mixed, "value").where(f"root <> other_root AND {MEETS}")
         else:
-            left = keep(rooted.join(mixed.select("value"), "value"), "left")
-            met = left.join(left.select("value", *other), "value").where(f"root < other_root AND {MEETS}")
+            left = keep(rooted.join(mixed.select("value"), "value").join(sets.drop("set"), "rid"), "left")
+            right = left.select("value", *other, *[F.col(p).alias(f"other_{p}") for p in PARITY])
+            met = left.join(right, "value").where(f"root < other_root AND {MEETS} AND {ALIKE}")
         pairs = met.select(F.least("rid", "other").alias("u"), F.greatest("rid", "other").alias("v")).distinct()
         pairs = keep(pairs.join(tried, ["u", "v"], "left_anti"), "pairs")
         tried = tried.unionByName(pairs)

@@ -19,6 +19,7 @@ and ``text`` are not written, whatever their names.
 from __future__ import annotations
 
 import json
+import os
 import re
 import sys
 import zlib
@@ -152,9 +153,11 @@ def _encoder(tokenizer_path: str) -> PieceEncoder | WholeEncoder:
     """One encoder per Python worker, kept from task to task.
 
     Task functions arrive by value and have globals of their own, so the encoder is kept in ``sys.modules``.
+    A worker has one task; threads of the library would each hold memory of their own.
     """
     kept = sys.modules.setdefault("_kept_encoders", ModuleType("_kept_encoders")).__dict__
     if tokenizer_path not in kept:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         kept[tokenizer_path] = encoder_of(tokenizer_path)
     return kept[tokenizer_path]
 

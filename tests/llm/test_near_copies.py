@@ -1,5 +1,6 @@
 """Near copies against brute-force Jaccard of five-word shingles."""
 
+import random
 from itertools import combinations
 
 from sluicegate.llm import near_copies, simhash
@@ -102,3 +103,36 @@ def test_fingerprints_are_linked_first(spark, monkeypatch):
     kept = stage_kept(spark, spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
     assert plain_roots(len(rows), tried[0]) == plain_roots(len(rows), near) and set(tried[0]) <= near
     assert kept == sorted(plain_kept(rows)) == list(range(0, len(rows), 4))
+
+
+def test_parity_never_excludes_similar_sets():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        a = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 3000), dtype=np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) > 0.1], rng.integers(0, 1 << 63, len(a) // 9, dtype=np.uint64)]))
+        odd = int(np.bitwise_count((near_copies.parity(a) ^ near_copies.parity(b)).view(np.uint64)).sum())
+        assert odd <= len(np.setxor1d(a, b))
+        assert odd <= (len(a) + len(b)) // 9 or not near_copies.similar(a.tobytes(), b.tobytes())
+
+
+def test_a_group_below_the_similarity_makes_few_pairs(spark, monkeypatch):
+    # 60 texts of 204 words, each with 4 words of its own: any two share rare shingles and are 0.67 similar
+    rng, texts = random.Random(5), []
+    for k in range(60):
+        words = [f"g{i}" for i in range(204)]
+        for place in rng.sample(range(5, 200, 6), 4):
+            words[place] = f"own{k}x{place}"
+        texts.append(" ".join(words))
+    texts.append(texts[4] + " end")
+    n_tried, verified = [], near_copies._verified
+
+    def spy(pairs, sets):
+        n_tried.append(pairs.count())
+        return verified(pairs, sets)
+
+    monkeypatch.setattr(near_copies, "_verified", spy)
+    rows = list(enumerate(texts))
+    assert stage_kept(spark, spark.createDataFrame(rows, "doc_id long, text string")) == sorted(plain_kept(rows))
+    assert sum(n_tried) < 6 * len(texts), n_tried
