@@ -7,7 +7,8 @@ First tier: the most frequent pre-tokens of all documents with their lengths, br
 most ``TABLE_ROWS`` keys of at most ``MAX_KEY_CHARS`` characters. They are found by a mergeable sketch
 (``approx_top_k``): every task sends a summary of at most ``SKETCH_ITEMS`` items, and no pre-token is shuffled.
 Second tier: a store in each Python worker, of bounded size, for what the table lacks; only what neither
-holds is encoded. Both tiers change the time and never the count.
+holds is encoded. Both tiers change the time and never the count. A worker has one task, so the library gets no
+threads in it: each would hold memory of its own.
 
 Texts that may not be cut go to the library whole: those that hold an added token's string, and those with a
 blank between two white-space characters. So do all texts under a tokenizer that ``CutsAtBlanks`` does not accept.
@@ -19,6 +20,7 @@ rows, and columns beyond ``text`` pass untouched, whatever their names.
 from __future__ import annotations
 
 import json
+import os
 import re
 import sys
 import uuid
@@ -37,8 +39,8 @@ TABLE_ROWS = 32_768
 SKETCH_ITEMS = 98_304
 SKETCH_SHARDS = 16
 MAX_KEY_CHARS = 32
-STORED_PIECES = 400_000
-CHARS_AT_ONCE = 1 << 20
+STORED_PIECES = 100_000
+CHARS_AT_ONCE = 1 << 18
 # Fixed value: how byte-level vocabularies write a blank.
 BLANK = "\u0120"
 # A blank whose place in a run of white space decides the cut; Python's white space holds all of the library's.
@@ -194,6 +196,7 @@ def with_token_counts(docs: DataFrame, tokenizer_path: str, name: str = "n_token
         # One counter per Python worker. Task functions arrive by value and have globals of their own.
         kept = sys.modules.setdefault("_kept_counters", ModuleType("_kept_counters")).__dict__
         if kept.get("key") != key:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
             kept.update(key=key, counter=TokenCounter(tokenizer_path, table.value))
         return pa.array([n for run in _slices(texts) for n in kept["counter"].many(run)], pa.int64())
 

@@ -1,6 +1,9 @@
 """Token counts against the library, text by text, for every kind of tokenizer file."""
 
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import public_tokenizers
 import pytest
@@ -71,3 +74,24 @@ def test_table_of_frequent_pieces_without_a_shuffle_of_pieces(spark):
     docs = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "common word").otherwise(F.concat(F.lit("rare "), "id")).alias("text"))
     assert {"common", "word", "rare"} <= set(token_counts.frequent_pieces(docs.repartition(7)))
     assert len(token_counts.frequent_pieces(docs)) <= token_counts.TABLE_ROWS
+
+
+GROWTH = """
+import resource
+from sluicegate.llm import token_counts
+from sluicegate.llm.queries import byte_tokenizer
+
+counter = token_counts.TokenCounter(byte_tokenizer())
+counter.many(["some words to begin with"])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+for k in range(50):
+    counter.many([" ".join(f"w{k}q{j}x{i}" for i in range(180)) for j in range(100)])
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before)
+"""
+
+
+def test_memory_of_a_worker_that_meets_new_words_only():
+    # 900,000 words, none of them twice
+    root = Path(__file__).resolve().parents[2]
+    grown = subprocess.run([sys.executable, "-c", GROWTH], cwd=root, capture_output=True, text=True, check=True).stdout
+    assert int(grown) < 75_000  # KB; 102,000 with stores of 400,000 words
