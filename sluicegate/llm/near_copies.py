@@ -23,6 +23,9 @@ pair at all, and none that is similar is lost (sets of several thousand shingles
 excludes nothing). Components are the same as those of all pairs. Each round starts from the forest of the one before, and
 tables that are no longer read are removed.
 
+Texts and sets are long, so they are not shuffled whole: bitmaps of ids (``screen.py``) tell which rows a step needs, and
+only repeated sets, sets of candidates and dropped documents pass a shuffle.
+
 Nulls and texts without words have the empty set and are near copies of each other. A text of fewer words than
 ``SHINGLE`` is one shingle. Repeated rows are copies. Other columns pass.
 """
@@ -40,6 +43,7 @@ from ..sinks.control import remove
 from . import simhash
 from .components import components
 from .kept import free_names, keep
+from .screen import may_be_in, without
 
 SHINGLE = 5
 MIN_NUM, MIN_DEN = 4, 5
@@ -122,7 +126,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counters[shingle_set(text.as_py()) & np.uint64(COUNTERS - 1)] += 1
     for number, chunk in enumerate(counters.reshape(-1, COUNTERS_A_CHUNK)):
         if chunk.any():
-            yield pa.RecordBatch.from_pydict({"chunk": pa.array([number], pa.int32()), "counters": pa.array([chunk.tobytes()], pa.binary())})
+            # In as few bytes a counter as the largest needs, which the length of the chunk tells.
+            least = chunk.astype(np.min_scalar_type(chunk.max())).tobytes()
+            yield pa.RecordBatch.from_pydict({"chunk": pa.array([number], pa.int32()), "counters": pa.array([least], pa.binary())})
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +141,8 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for chunk, data in zip(batch.column("chunk").to_pylist(), batch.column("counters")):
-            more = np.frombuffer(data.as_py(), np.uint32).astype(np.uint64)
+            counters = data.as_py()
+            more = np.frombuffer(counters, f"u{len(counters) // COUNTERS_A_CHUNK}").astype(np.uint64)
             if chunk == number:
                 total = total + more
                 continue
@@ -247,18 +254,23 @@ def roots(posted: DataFrame, staged: DataFrame, candidates: DataFrame) -> DataFr
     shared = keep(posted.groupBy("value").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("value"), "shared")
     members = keep(posted.join(shared, "value"), "members")
     _forget(posted, shared)
-    # Similar texts share a posted shingle, so candidates without a set here are not similar.
-    sets = keep(_sets(staged.join(members.select("rid").distinct(), "rid")), "sets")
+    # Similar texts share a posted shingle, so candidates without a set here are not similar. A few sets more do no harm.
+    ids = keep(members.select("rid").distinct(), "ids")
+    sets = keep(_sets(staged.where(may_be_in(ids, "rid"))), "sets")
+    _forget(ids)
 
     def grown(pairs: DataFrame, linked: DataFrame | None) -> tuple[DataFrame, DataFrame]:
         """The forest with the similar ones of ``pairs``, and ``members`` with its roots."""
-        links = keep(_verified(pairs, sets), "similar")
+        # Sets of other texts stay where they are.
+        ids = pairs.select(F.col("u").alias("rid")).unionByName(pairs.select(F.col("v").alias("rid")))
+        needed = keep(sets.select("rid", "set").where(may_be_in(ids, "rid")), "needed")
+        links = keep(_verified(pairs, needed), "similar")
         # The forest so far stands for all links before.
         forest = links if linked is None else links.unionByName(linked.select(F.col("node").alias("u"), F.col("root").alias("v")))
         found = keep(components(forest), "roots")
         rooted = members.join(found, members["rid"] == found["node"], "left").select(*members.columns, F.coalesce("root", "rid").alias("root"))
         rooted = keep(rooted, "rooted")
-        _forget(links, linked)
+        _forget(links, linked, needed)
         return found, rooted
 
     tried = candidates
@@ -301,8 +313,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     nodes = keep(thin.groupBy("key").agg(F.min("rank").alias("rank")).select("rank", "rank.rid", "rank.fp"), "nodes")
     texts = staged.select(F.col(rid).alias("rid"), "text")
     levels = rarity(texts)
-    posted = keep(postings(texts.join(nodes.select("rid"), "rid"), levels), "posted")
+    repeats = keep(texts.select("rid").join(nodes.select("rid"), "rid", "left_anti"), "repeats")
+    posted = keep(postings(without(texts, repeats, "rid"), levels), "posted")
+    _forget(repeats)
     found = roots(posted, texts, by_fingerprint(nodes))
     firsts = nodes.join(found, "rid", "left").groupBy(F.coalesce("root", "rid").alias("root")).agg(F.min("rank").alias("rank"))
     kept = keep(firsts.select(F.col("rank.rid").alias(rid)), "kept")
-    return staged.join(kept, rid, "left_semi").select(*docs.columns)
+    gone = keep(staged.select(rid).join(kept, rid, "left_anti"), "gone")
+    return without(staged, gone, rid).select(*docs.columns)

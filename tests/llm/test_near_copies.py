@@ -136,3 +136,21 @@ def test_a_group_below_the_similarity_makes_few_pairs(spark, monkeypatch):
     rows = list(enumerate(texts))
     assert stage_kept(spark, spark.createDataFrame(rows, "doc_id long, text string")) == sorted(plain_kept(rows))
     assert sum(n_tried) < 6 * len(texts), n_tried
+
+
+def test_only_sets_of_candidates_are_joined(spark, monkeypatch):
+    # pairs of texts that share 85 of 100 shingles, so that all have a set and none is similar, and 3 copies with another last word
+    texts = [" ".join([f"s{k // 2}w{i}" for i in range(89)] + [f"own{k}x{i}" for i in range(15)]) for k in range(100)]
+    texts += [texts[k] + " end" for k in (5, 50, 75)]
+    given, verified = [], near_copies._verified
+
+    def spy(pairs, sets):
+        needed = {r[c] for r in pairs.collect() for c in ("u", "v")}
+        given.append((len(needed), {r["rid"] for r in sets.select("rid").collect()}))
+        assert needed <= given[-1][1]
+        return verified(pairs, sets)
+
+    monkeypatch.setattr(near_copies, "_verified", spy)
+    rows = list(enumerate(texts))
+    assert stage_kept(spark, spark.createDataFrame(rows, "doc_id long, text string")) == sorted(plain_kept(rows)) == list(range(100))
+    assert all(len(there) <= 2 * n + 10 for n, there in given), [(n, len(there)) for n, there in given]
